@@ -1,0 +1 @@
+"""Empty on purpose: every operator of the flow series is a finite batch."""
