@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from odflux.functions import codes
 from odflux.functions.nulls import differs
-from odflux.operators.lookups import Lookup, as_lookup
+from odflux.operators.lookups import Lookup
 
 
 def drop_any_null(df: DataFrame) -> DataFrame:
@@ -62,6 +62,12 @@ def code_not_equals(df: DataFrame, code: str, column: str = "gss_code") -> DataF
     return df.where(differs(F.col(column), F.lit(code)))
 
 
-def code_present(df: DataFrame, column: str, present: Lookup | DataFrame, key: str) -> DataFrame:
-    """Rows of ``df`` whose code occurs in the ``key`` column of ``present``."""
-    return as_lookup(present, key).restrict(df, column)
+def code_present(df: DataFrame, column: str, present: DataFrame, key: str) -> DataFrame:
+    """Rows of a small table whose code occurs in the ``key`` column of a large one.
+
+    The large table is first cut down to the codes asked for, so it is
+    scanned once and only those codes are shuffled.
+    """
+    wanted = Lookup(df.select(column).distinct(), column)
+    seen = wanted.restrict(present.select(F.col(key).alias("__seen")), "__seen").distinct()
+    return df.join(seen, F.col(column) == F.col("__seen"), "left_semi")
