@@ -31,7 +31,7 @@ def sample_csv(spark: SparkSession, path: str, schema: StructType, n: int, order
 
 
 def read_parquet(
-    spark: SparkSession, path: str, schema: StructType | None = None, skip_unreadable: bool = False
+    spark: SparkSession, path: str, schema: StructType | str | None = None, skip_unreadable: bool = False
 ) -> DataFrame:
     reader = _tolerance(spark.read, skip_unreadable)
     return (reader.schema(schema) if schema else reader).parquet(path)

@@ -13,14 +13,10 @@ from workload.standin import (
     NEW_VINTAGE,
     OLD_VINTAGE,
     REGION_CODE,
+    case,
 )
 
 
-def case(column: str, values: dict[int, str]) -> str:
-    whens = " ".join(f"WHEN {key} THEN '{value}'" for key, value in values.items())
-    return f"CASE {column} {whens} END"
-
-
 def _sheet_cells(fill: bool) -> str:
     cells = (f"sum(value) FILTER (WHERE age = {a})" for a in AGES)
     return ", ".join(f'coalesce({c}, 0) AS "Age_{a}"' if fill else f'{c} AS "Age_{a}"' for a, c in zip(AGES, cells))

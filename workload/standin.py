@@ -6,10 +6,9 @@ ages, return flags sexes and ship years years; quantities are the flow values.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odflux.functions.codes import labelled
 from odflux.operators.flows import Geography, reporting_geographies
 from odflux.operators.reshape import map_sex
 from odflux.sources.readers import read_parquet
@@ -41,18 +40,31 @@ SELECT * FROM (VALUES
 """
 
 
+# Columns used of each table; a stated schema saves the job that infers one.
+TABLES = {
+    "nation": "n_nationkey int, n_name string, n_regionkey int",
+    "customer": "c_custkey bigint, c_name string, c_nationkey int, c_mktsegment string",
+    "supplier": "s_suppkey bigint, s_nationkey int",
+    "orders": "o_orderkey bigint, o_custkey bigint",
+    "lineitem": "l_orderkey bigint, l_suppkey bigint, l_linenumber int, l_quantity double, "
+    "l_returnflag string, l_shipdate timestamp_ntz",
+    "pages": "page_id bigint, url string, html string",
+}
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
-    return read_parquet(spark, f"{sf_dir}/{name}.parquet")
+    return read_parquet(spark, f"{sf_dir}/{name}.parquet", TABLES[name])
 
 
-def by_region_key(values: dict[int, str]) -> Column:
-    return labelled(F.col("n_regionkey"), values)
+def case(column: str, values: dict[int, str]) -> str:
+    whens = " ".join(f"WHEN {key} THEN '{value}'" for key, value in values.items())
+    return f"CASE {column} {whens} END"
 
 
 def nations(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Area code of each nation."""
-    code = F.concat(by_region_key(CODE_PREFIX), F.lpad(F.col("n_nationkey").cast("string"), 6, "0"))
-    return table(spark, sf_dir, "nation").select("n_nationkey", "n_regionkey", "n_name", code.alias("code"))
+    code = f"{case('n_regionkey', CODE_PREFIX)} || lpad(CAST(n_nationkey AS STRING), 6, '0') AS code"
+    return table(spark, sf_dir, "nation").selectExpr("n_nationkey", "n_regionkey", "n_name", code)
 
 
 def od_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -63,30 +75,30 @@ def od_flows(spark: SparkSession, sf_dir: str) -> DataFrame:
     """
     origin = (
         table(spark, sf_dir, "orders")
-        .join(table(spark, sf_dir, "customer"), F.col("o_custkey") == F.col("c_custkey"))
+        .join(table(spark, sf_dir, "customer"), F.expr("o_custkey = c_custkey"))
         .select("o_orderkey", "c_nationkey")
     )
     items = (
         table(spark, sf_dir, "lineitem")
-        .join(table(spark, sf_dir, "supplier"), F.col("l_suppkey") == F.col("s_suppkey"))
-        .join(origin, F.col("l_orderkey") == F.col("o_orderkey"))
+        .join(table(spark, sf_dir, "supplier"), F.expr("l_suppkey = s_suppkey"))
+        .join(origin, F.expr("l_orderkey = o_orderkey"))
+        .selectExpr("c_nationkey", "s_nationkey", "l_returnflag", "year(l_shipdate) AS year", "l_linenumber AS age", "l_quantity")
+    )
+    summed = items.groupBy("c_nationkey", "s_nationkey", "l_returnflag", "year", "age").agg(
+        F.sum("l_quantity").alias("value")
     )
-    summed = items.groupBy(
-        "c_nationkey",
-        "s_nationkey",
-        "l_returnflag",
-        F.year("l_shipdate").alias("year"),
-        F.col("l_linenumber").cast("int").alias("age"),
-    ).agg(F.sum(F.col("l_quantity").cast("double")).alias("value"))
     codes = nations(spark, sf_dir)
-    out = codes.select(F.col("n_nationkey").alias("c_nationkey"), F.col("code").alias("gss_out"))
-    into = codes.select(F.col("n_nationkey").alias("s_nationkey"), F.col("code").alias("gss_in"))
-    flag = F.col("l_returnflag")
-    sex = F.when(flag == "A", "F").when(flag == "R", "M").otherwise("X")
     return (
-        summed.join(out, "c_nationkey")
-        .join(into, "s_nationkey")
-        .select("gss_out", "gss_in", sex.alias("sex"), "year", "age", "value")
+        summed.join(codes.selectExpr("n_nationkey AS c_nationkey", "code AS gss_out"), "c_nationkey")
+        .join(codes.selectExpr("n_nationkey AS s_nationkey", "code AS gss_in"), "s_nationkey")
+        .selectExpr(
+            "gss_out",
+            "gss_in",
+            "CASE l_returnflag WHEN 'A' THEN 'F' WHEN 'R' THEN 'M' ELSE 'X' END AS sex",
+            "year",
+            "age",
+            "value",
+        )
     )
 
 
@@ -99,10 +111,12 @@ def sheet(spark: SparkSession, sf_dir: str, fill: bool = True) -> DataFrame:
     """Yearly sheet: one row per pair, sex and year, one column per age."""
     cells = []
     for age in AGES:
-        cell = F.sum(F.when(F.col("age") == age, F.col("value")))
-        cells.append((F.coalesce(cell, F.lit(0.0)) if fill else cell).alias(f"Age_{age}"))
-    keys = [F.col("gss_out").alias("outla"), F.col("gss_in").alias("inla"), F.col("sex").alias("Sex")]
-    return od_flows(spark, sf_dir).groupBy(*keys, F.col("year").alias("Year")).agg(*cells)
+        cell = f"sum(value) FILTER (WHERE age = {age})"
+        cells.append(F.expr(f"coalesce({cell}, 0.0D)" if fill else cell).alias(f"Age_{age}"))
+    flows = od_flows(spark, sf_dir).selectExpr(
+        "gss_out AS outla", "gss_in AS inla", "sex AS Sex", "year AS Year", "age", "value"
+    )
+    return flows.groupBy("outla", "inla", "Sex", "Year").agg(*cells)
 
 
 def new_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -111,12 +125,12 @@ def new_sheet(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def lad_lookup(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every target code of each area; a missing target means no row in that lookup."""
-    parity = F.when(F.col("n_nationkey") % 2 == 0, "E13000001").otherwise("E13000002")
-    return nations(spark, sf_dir).select(
-        F.col("code").alias("lad_code"),
-        by_region_key(REGION_CODE).alias("region_code"),
-        by_region_key(COUNTRY_CODE).alias("country_code"),
-        F.when(F.col("n_regionkey") == 0, parity).otherwise("other").alias("io_london"),
+    return nations(spark, sf_dir).selectExpr(
+        "code AS lad_code",
+        f"{case('n_regionkey', REGION_CODE)} AS region_code",
+        f"{case('n_regionkey', COUNTRY_CODE)} AS country_code",
+        "CASE WHEN n_regionkey <> 0 THEN 'other' WHEN n_nationkey % 2 = 0 THEN 'E13000001' "
+        "ELSE 'E13000002' END AS io_london",
     )
 
 
