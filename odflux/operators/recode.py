@@ -179,8 +179,27 @@ def recode_end(
     return aggregate_measures(relabel(hit, column, lookup), [measure]).unionByName(rest)
 
 
+def _known_codes(lookup: Lookup) -> Lookup:
+    """The lookup with its targets as further codes, which have no new code."""
+    targets = lookup.frame.select(F.col(TO).alias(FROM), F.lit(None).cast("string").alias(TO))
+    known = lookup.frame.select(FROM, TO).unionByName(targets).groupBy(FROM).agg(F.max(TO).alias(TO))
+    return Lookup(known.withColumn("known", F.lit(True)), FROM, lookup.max_bytes, lookup.salts)
+
+
+def _new_ends(marked: DataFrame, columns: Sequence[str]) -> DataFrame:
+    ends = {
+        "gss_in": F.coalesce(F.when(F.col("__in"), F.col("__new_in")), "gss_in").alias("gss_in"),
+        "gss_out": F.coalesce(F.when(F.col("__out"), F.col("__new_out")), "gss_out").alias("gss_out"),
+    }
+    return marked.select(*[ends.get(c, F.col(c)) for c in columns], "__out")
+
+
 def recode_both_ends(
-    flows: DataFrame, lookup: Lookup, measure: str = "value", pattern: str = LOCAL_AUTHORITY_PATTERN
+    flows: DataFrame,
+    lookup: Lookup,
+    measure: str = "value",
+    pattern: str = LOCAL_AUTHORITY_PATTERN,
+    unique_keys: bool = False,
 ) -> DataFrame:
     """``recode_end`` on gss_in and then on gss_out, with one shuffle in place of two.
 
@@ -188,15 +207,25 @@ def recode_both_ends(
     through a single aggregation over its final codes. Flows only the first
     step sums must not merge with flows the second one sums, hence the flag in
     the key; flows neither step touches pass unchanged.
+
+    Where the caller knows that no key repeats (``unique_keys``), a flow can
+    only merge when one of its codes is an old or a new code of the lookup,
+    so just those flows are shuffled.
     """
+    columns = flows.columns
     hit_in, hit_out = (is_local_authority(F.col(c), pattern) for c in ("gss_in", "gss_out"))
-    touched = flows.where(hit_in | hit_out).withColumns({"__in": hit_in, "__out": hit_out})
-    new_in = lookup.attach(touched, "gss_in", {TO: "__new_in"}, "left")
-    new_both = lookup.attach(new_in, "gss_out", {TO: "__new_out"}, "left")
-    ends = {
-        "gss_in": F.coalesce(F.when(F.col("__in"), F.col("__new_in")), "gss_in").alias("gss_in"),
-        "gss_out": F.coalesce(F.when(F.col("__out"), F.col("__new_out")), "gss_out").alias("gss_out"),
-    }
-    relabelled = new_both.select(*[ends.get(c, F.col(c)) for c in flows.columns], "__out")
-    summed = aggregate_measures(relabelled, [measure]).select(*flows.columns)
-    return summed.unionByName(flows.where(~hit_in & ~hit_out))
+    marked = flows.withColumns({"__in": hit_in, "__out": hit_out})
+    touched = F.col("__in") | F.col("__out")
+    if not unique_keys:
+        found = lookup.attach(marked.where(touched), "gss_in", {TO: "__new_in"}, "left")
+        found = lookup.attach(found, "gss_out", {TO: "__new_out"}, "left")
+        summed = aggregate_measures(_new_ends(found, columns), [measure])
+        return summed.select(*columns).unionByName(marked.where(~touched).select(*columns))
+    known = _known_codes(lookup)
+    found = known.attach(marked, "gss_in", {TO: "__new_in", "known": "__known_in"}, "left")
+    found = known.attach(found, "gss_out", {TO: "__new_out", "known": "__known_out"}, "left")
+    can_merge = touched & F.coalesce("__known_in", "__known_out", F.lit(False))
+    summed = aggregate_measures(_new_ends(found.where(can_merge), columns), [measure])
+    kept = found.where(~can_merge & (~touched | all_present([c for c in columns if c != measure])))
+    alone = F.when(touched, F.coalesce(measure, F.lit(0))).otherwise(F.col(measure)).alias(measure)
+    return summed.select(*columns).unionByName(kept.select(*[alone if c == measure else F.col(c) for c in columns]))

@@ -24,10 +24,14 @@ def combine_series(
     first_new_year: int = FIRST_NEW_YEAR,
     old_vintage: int = OLD_VINTAGE,
     new_vintage: int = NEW_VINTAGE,
+    unique_keys: bool = False,
 ) -> DataFrame:
-    """Old years recoded at both ends, new years unpivoted, flows within an area left out."""
+    """Old years recoded at both ends, new years unpivoted, flows within an area left out.
+
+    ``unique_keys`` says that the historical series holds no key twice.
+    """
     lookup = changes if isinstance(changes, Lookup) else as_recode_lookup(changes, old_vintage, new_vintage)
-    old = recode_both_ends(year_before(historical, first_new_year), lookup)
+    old = recode_both_ends(year_before(historical, first_new_year), lookup, unique_keys=unique_keys)
     return drop_self_flows(union_by_name([old, unpivot_age(new_wide)]))
 
 

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import csv
 from collections import Counter, defaultdict
+from concurrent.futures import ThreadPoolExecutor
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -12,6 +14,10 @@ from odflux.schemas import sheet_schema
 from odflux.sources.readers import list_files, read_csv
 
 
+# Header lines fetched at the same time, each by a job of one short task.
+HEADER_READERS = 8
+
+
 def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
     """Column names on the first line of a file; only its first block is touched."""
     line = spark.read.text(path).first()
@@ -25,11 +31,12 @@ def combine_cleaned(spark: SparkSession, root: str, skip_unreadable: bool = Fals
     number of distinct headers and not with the number of files. Columns a
     file lacks are missing in its rows. None when there is no file.
     """
+    paths = [row["path"] for row in list_files(spark, root, ".csv").select("path").orderBy("path").collect()]
     by_header = defaultdict(list)
-    for row in list_files(spark, root, ".csv").select("path").orderBy("path").collect():
-        header = header_of(spark, row["path"])
-        if header:
-            by_header[header].append(row["path"])
+    with ThreadPoolExecutor(HEADER_READERS) as pool:
+        for path, header in zip(paths, pool.map(partial(header_of, spark), paths)):
+            if header:
+                by_header[header].append(path)
     scans = []
     for header, paths in by_header.items():
         clashes = [n for n, k in Counter(c.lower() for c in header).items() if k > 1]

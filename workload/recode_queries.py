@@ -200,6 +200,11 @@ def recode_both_ends(spark: SparkSession, d: str) -> DataFrame:
     return recode.recode_both_ends(old_series(spark, d), forward(spark))
 
 
+@query("recode_both_ends_unique", with_tables("SELECT * FROM historical_both", **HISTORICAL))
+def recode_both_ends_unique(spark: SparkSession, d: str) -> DataFrame:
+    return recode.recode_both_ends(old_series(spark, d), forward(spark), unique_keys=True)
+
+
 BEFORE = "SELECT DISTINCT gss_in AS code FROM flows"
 AFTER = f"SELECT DISTINCT gss_in AS code FROM ({recoded('SELECT * FROM flows', 'gss_in')})"
 
