@@ -15,6 +15,7 @@ from pathlib import Path
 
 from pyspark.sql import DataFrame, SparkSession
 
+from odflux.settings import settings_for
 from workload.queries import QUERIES
 
 HEADLINE = (
@@ -36,13 +37,12 @@ HEADLINE = (
 )
 
 
-def session(cpus: str) -> SparkSession:
+def session(cpus: str, sf_dir: str) -> SparkSession:
+    input_bytes = sum(file.stat().st_size for file in Path(sf_dir).glob("*.parquet"))
     builder = (
         SparkSession.builder.master(f"local[{cpus}]")
         .appName("flow-series-bench")
-        .config("spark.sql.shuffle.partitions", cpus)
-        .config("spark.sql.adaptive.enabled", "true")
-        .config("spark.sql.session.timeZone", "UTC")
+        .config(map=settings_for(input_bytes, int(cpus)))
         .config("spark.driver.memory", "8g")
         .config("spark.ui.enabled", "false")
     )
@@ -59,7 +59,7 @@ def run(df: DataFrame) -> None:
 def main() -> None:
     sf_dir = os.environ.get("BENCH_SF_DIR", "/root/testdata/sf0.1")
     runs = int(os.environ.get("BENCH_RUNS", "3"))
-    spark = session(os.environ.get("BENCH_CPUS", "8"))
+    spark = session(os.environ.get("BENCH_CPUS", "8"), sf_dir)
     run(QUERIES["gross_flows"](spark, sf_dir))
     seconds = {}
     for name in HEADLINE:

@@ -7,7 +7,7 @@ from collections.abc import Mapping
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
-from odflux.functions.nulls import matches
+from odflux.functions.nulls import holds
 
 # Area codes and code patterns of the flow tables.
 LOCAL_AUTHORITY_PATTERN = "E0|W0"
@@ -21,7 +21,7 @@ TOTAL = "total"
 
 def is_local_authority(column: Column, pattern: str = LOCAL_AUTHORITY_PATTERN) -> Column:
     """The pattern may occur anywhere in the code; a missing code does not match."""
-    return matches(column, pattern)
+    return holds(column, pattern)
 
 
 def is_london_borough(column: Column) -> Column:

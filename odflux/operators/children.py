@@ -93,14 +93,9 @@ def children_branches(
     """``region_flows``, ``inner_outer_flows`` and ``london_rollup`` from one scan, told apart by ``branch``."""
     lookup = stack_lookups([region, inner_outer])
     is_london = F.col("branch") == LONDON
-    branches = F.array_compact(
-        F.array(
-            F.lit(region.name),
-            F.lit(inner_outer.name),
-            F.when(codes.is_london_borough(F.col("gss_in")), F.lit(LONDON)),
-        )
-    )
+    branches = F.array(F.lit(region.name), F.lit(inner_outer.name), F.lit(LONDON))
     tagged = _children(flows, max_age).withColumn("branch", F.explode(branches))
+    tagged = tagged.where(~is_london | codes.is_london_borough(F.col("gss_in")))
     mapped = lookup.attach(tagged, ["branch", "gss_in"], {"area": "area_in"}, "left")
     mapped = lookup.attach(mapped, ["branch", "gss_out"], {"area": "area_out"}, "left")
     areas = mapped.select(
@@ -130,14 +125,12 @@ def all_od_flows(
 
     gss_in, gss_out, total = F.col("gss_in"), F.col("gss_out"), F.lit(codes.TOTAL)
     is_region = F.col("branch") == region.name
-    laid_out = F.array_compact(
-        F.array(
-            ends("pair", gss_in, gss_out),
-            F.when(is_region, ends("in", gss_in, total)),
-            F.when(is_region, ends("out", total, gss_out)),
-        )
+    laid_out = F.array(
+        ends("pair", gss_in, gss_out),
+        F.when(is_region, ends("in", gss_in, total)),
+        F.when(is_region, ends("out", total, gss_out)),
     )
-    rows = branches.select("branch", "age", "year", "value", F.inline(laid_out))
+    rows = branches.select("branch", "age", "year", "value", F.inline(laid_out)).where(F.col("kind").isNotNull())
     summed = rows.groupBy("branch", "kind", *OD_AGE_KEYS).agg(sum_or_zero("value").alias("value"))
     return summed.select(*OD_AGE_KEYS, "value")
 

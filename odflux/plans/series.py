@@ -2,13 +2,14 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 
 from odflux.operators.filters import drop_self_flows, year_before
 from odflux.operators.lookups import Lookup
 from odflux.operators.recode import as_recode_lookup, recode_both_ends
 from odflux.operators.reshape import unpivot_age
 from odflux.operators.sets import union_by_name
+from odflux.sources.releases import combine_cleaned
 from odflux.sources.sinks import WriteSummary, write_partitioned
 
 # First year of the new series, and the vintages of the two series.
@@ -35,5 +36,15 @@ def combine_series(
     return drop_self_flows(union_by_name([old, unpivot_age(new_wide)]))
 
 
-def write_series(combined: DataFrame, root: str) -> WriteSummary:
-    return write_partitioned(combined, root)
+def write_series(combined: DataFrame, root: str, rebalance: bool = True) -> WriteSummary:
+    return write_partitioned(combined, root, rebalance=rebalance)
+
+
+def build_series(
+    spark: SparkSession, cleaned_root: str, historical: DataFrame, changes: DataFrame | Lookup, root: str
+) -> WriteSummary:
+    """From cleaned yearly sheets and the historical series to the dataset by year."""
+    new_wide = combine_cleaned(spark, cleaned_root)
+    if new_wide is None:
+        raise FileNotFoundError(f"no sheets under {cleaned_root}")
+    return write_series(combine_series(historical, new_wide, changes), root)

@@ -1,4 +1,8 @@
-"""Combining cleaned yearly sheets, whatever their headers."""
+"""Cleaning and combining yearly sheets, whatever their headers.
+
+Sheets are CSV files. Files with equal headers are read by one scan, so plans
+grow with the number of distinct headers and not with the number of files.
+"""
 
 from __future__ import annotations
 
@@ -8,39 +12,76 @@ from concurrent.futures import ThreadPoolExecutor
 from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from odflux.functions.text import basename, output_name
+from odflux.operators.filters import drop_any_null
 from odflux.operators.sets import union_by_name
 from odflux.schemas import sheet_schema
 from odflux.sources.readers import list_files, read_csv
 
-
 # Header lines fetched at the same time, each by a job of one short task.
 HEADER_READERS = 8
 
+Header = tuple[str, ...]
+
 
-def header_of(spark: SparkSession, path: str) -> tuple[str, ...]:
+def header_of(spark: SparkSession, path: str) -> Header:
     """Column names on the first line of a file; only its first block is touched."""
     line = spark.read.text(path).first()
     return tuple(next(csv.reader([line["value"]]))) if line else ()
 
 
-def combine_cleaned(spark: SparkSession, root: str, skip_unreadable: bool = False) -> DataFrame | None:
-    """All CSV files under ``root`` as one table with lower-case headers.
-
-    Files with equal headers are read by one scan, so the plan grows with the
-    number of distinct headers and not with the number of files. Columns a
-    file lacks are missing in its rows. None when there is no file.
-    """
+def sheets_by_header(spark: SparkSession, root: str) -> dict[Header, list[str]]:
+    """Paths of the CSV files under ``root``; files without a line are left out."""
     paths = [row["path"] for row in list_files(spark, root, ".csv").select("path").orderBy("path").collect()]
     by_header = defaultdict(list)
     with ThreadPoolExecutor(HEADER_READERS) as pool:
         for path, header in zip(paths, pool.map(partial(header_of, spark), paths)):
             if header:
                 by_header[header].append(path)
+    return dict(by_header)
+
+
+def text_schema(header: Header) -> T.StructType:
+    return T.StructType([T.StructField(name, T.StringType()) for name in header])
+
+
+def clean_sheets(spark: SparkSession, root: str, out: str, prefix: str = "", skip_unreadable: bool = False) -> int:
+    """Write every sheet without its rows that lack a value; gives the number of sheets.
+
+    A sheet becomes the folder ``source=<cleaned name>`` of CSV files, which a
+    second run replaces.
+    """
+    sheets = sheets_by_header(spark, root)
+    for header, paths in sheets.items():
+        raw = read_csv(spark, paths, text_schema(header), skip_unreadable)
+        named = raw.withColumn("source", output_name(basename(F.input_file_name()), prefix))
+        writer = drop_any_null(named).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+        writer.option("header", True).partitionBy("source").csv(out)
+    return sum(map(len, sheets.values()))
+
+
+def combine_cleaned(spark: SparkSession, root: str, skip_unreadable: bool = False) -> DataFrame | None:
+    """All sheets under ``root`` as one table with lower-case headers.
+
+    Columns a sheet lacks are missing in its rows. None when there is no sheet.
+    """
     scans = []
-    for header, paths in by_header.items():
+    for header, paths in sheets_by_header(spark, root).items():
         clashes = [n for n, k in Counter(c.lower() for c in header).items() if k > 1]
         if clashes:
             raise ValueError(f"columns of {paths[0]} differ only by case: {clashes}")
         scans.append(read_csv(spark, paths, sheet_schema(list(header)), skip_unreadable))
     return union_by_name(scans) if scans else None
+
+
+def files_read(df: DataFrame) -> DataFrame:
+    """Number of files a scan took its rows from."""
+    return df.select(F.input_file_name().alias("f")).agg(F.count_distinct("f").alias("n_files"))
+
+
+def read_lookup(spark: SparkSession, path: str, *columns: str) -> DataFrame:
+    """Columns of a CSV lookup as text, so no code is taken for a number."""
+    return read_csv(spark, path, text_schema(header_of(spark, path))).select(*columns)

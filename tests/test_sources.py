@@ -1,15 +1,17 @@
 from __future__ import annotations
 
+from pathlib import Path
+
 import pytest
 from pyspark.sql import functions as F
 
 from odflux.operators.flows import Geography, final_gross_flows, gross_flows
 from odflux.plans.areas import write_area_flows
 from odflux.plans.children import write_children_flows
-from odflux.plans.series import write_series
+from odflux.plans.series import build_series, write_series
 from odflux.schemas import FLOWS_LONG, flows_wide
 from odflux.sources import readers, sinks
-from odflux.sources.releases import combine_cleaned, header_of
+from odflux.sources.releases import clean_sheets, combine_cleaned, files_read, header_of, read_lookup
 from odflux.sources.workdir import fresh_path, work_root
 
 
@@ -140,3 +142,44 @@ def test_children_suite_is_written(spark, random_flows, areas, root):
     wide = spark.read.option("header", True).csv(f"{root}/net_flows_wide")
     assert wide.columns == ["gss_code", "origin_destination_code", "direction", "year", "0", "5"]
     assert wide.count() == 3 * spark.read.parquet(f"{root}/net_flows").select("gss_in", "gss_out", "year").distinct().count()
+
+
+def test_sheets_are_cleaned_one_by_one(spark, rows, root):
+    raw, clean = f"{root}/raw", f"{root}/clean"
+    Path(raw).mkdir()
+    text_file(spark, f"{raw}/detail2012on2021and2023las.csv", "outla,inla,Year,Sex,Age_0", "a,b,2012,F,1", "a,b,2012,,2", ",,,,")
+    text_file(spark, f"{raw}/detail2013on2021and2023las.csv", "outla,inla,Year,Sex,Age_0,Age_1", "a,c,2013,M,3,4", "a,c,2013,M,3,")
+    for _ in range(2):
+        assert clean_sheets(spark, raw, clean) == 2
+    assert sorted(p.name for p in Path(clean).glob("source=*")) == [
+        "source=detail2012on2023las.csv", "source=detail2013on2023las.csv",
+    ]
+    assert rows(combine_cleaned(spark, clean), "outla", "inla", "year", "sex", "age_0", "age_1") == [
+        ("a", "b", 2012, "F", 1.0, None), ("a", "c", 2013, "M", 3.0, 4.0),
+    ]
+    assert rows(files_read(combine_cleaned(spark, clean))) == [(2,)]
+
+
+def test_lookup_codes_stay_text(spark, rows, root):
+    text_file(spark, f"{root}/lookup.csv", "name,lad_code,region_code", "x,0012,E1", "y,E06,E2")
+    assert rows(read_lookup(spark, f"{root}/lookup.csv", "lad_code", "region_code")) == [("0012", "E1"), ("E06", "E2")]
+
+
+def test_series_from_sheets_to_dataset(spark, changes, rows, root):
+    Path(f"{root}/sheets").mkdir()
+    text_file(spark, f"{root}/sheets/2012.csv", "outla,inla,Year,Sex,Age_0,Age_1", "a,b,2012,F,1,0", "a,a,2012,F,7,7")
+    old = spark.createDataFrame([("E07000002", "E06000001", "male", 2011, 1, 2.0)], FLOWS_LONG)
+    summary = build_series(spark, f"{root}/sheets", old, changes, f"{root}/series")
+    assert (summary.rows, summary.partitions) == (2, 2)
+    assert rows(readers.read_partitioned(spark, f"{root}/series"), *FLOWS_LONG.names) == [
+        ("E06000301", "E06000201", "male", 2011, 1, 2.0), ("a", "b", "female", 2012, 0, 1.0),
+    ]
+    Path(f"{root}/empty").mkdir()
+    with pytest.raises(FileNotFoundError):
+        build_series(spark, f"{root}/empty", old, changes, f"{root}/series")
+
+
+def test_a_write_without_rebalance(spark, random_flows, rows, root):
+    df = random_flows(7).where("year IS NOT NULL")
+    sinks.write_partitioned(df, root, rebalance=False)
+    assert rows(readers.read_partitioned(spark, root), *FLOWS_LONG.names) == rows(df, *FLOWS_LONG.names)

@@ -7,13 +7,12 @@ from pyspark.sql import functions as F
 
 from odflux.functions.text import basename
 from odflux.schemas import FLOWS_LONG
-from odflux.sources import readers, sinks
-from odflux.sources.releases import combine_cleaned as combine
+from odflux.sources import readers, releases, sinks
 from odflux.sources.workdir import fresh_path
 from workload import standin
 from workload.registry import query
 from workload.sql import with_tables
-from workload.standin import CUTOVER, flows_long
+from workload.standin import AGES, CUTOVER, flows_long
 
 FLOWS = with_tables("SELECT gss_out, gss_in, sex, year, age, value FROM flows")
 ORDER = ["gss_out", "gss_in", "sex", "year", "age"]
@@ -103,7 +102,7 @@ def skip_unreadable_files(spark: SparkSession, d: str) -> DataFrame:
     "combine_cleaned",
     with_tables(
         'SELECT outla, inla, "Sex" AS sex, "Year" AS year, '
-        + ", ".join(f'"Age_{a}" AS age_{a}' for a in range(1, 7))
+        + ", ".join(f'"Age_{a}" AS age_{a}' for a in AGES[:-1])
         + f', CASE WHEN "Year" < {CUTOVER} THEN "Age_7" END AS age_7 FROM sheet'
     ),
 )
@@ -114,4 +113,21 @@ def combine_cleaned(spark: SparkSession, d: str) -> DataFrame:
     sinks.write_csv(sheet.where(F.col("Year") < CUTOVER).coalesce(2), f"{root}/old")
     later = sheet.where(F.col("Year") >= CUTOVER).drop("Age_7")
     sinks.write_csv(later.toDF(*[c.lower() for c in later.columns]).coalesce(2), f"{root}/new")
-    return combine(spark, root)
+    return releases.combine_cleaned(spark, root)
+
+
+@query(
+    "clean_sheets",
+    with_tables(
+        'SELECT outla, inla, "Sex" AS sex, "Year" AS year, '
+        + ", ".join(f'"Age_{a}" AS age_{a}' for a in AGES)
+        + " FROM sheet_gaps WHERE "
+        + " AND ".join(f'"Age_{a}" IS NOT NULL' for a in AGES)
+    ),
+)
+def clean_sheets(spark: SparkSession, d: str) -> DataFrame:
+    """Sheets with gaps written, cleaned into new files, and these combined."""
+    raw, clean = fresh_path(spark, "raw"), fresh_path(spark, "clean")
+    sinks.write_csv(standin.sheet(spark, d, fill=False), raw)
+    releases.clean_sheets(spark, raw, clean, prefix="clean_")
+    return releases.combine_cleaned(spark, clean)
