@@ -6,13 +6,13 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from odflux.functions import codes
 from odflux.functions.nulls import differs, sum_or_zero, with_keys
 from odflux.functions.numbers import round_half_even
-from odflux.operators.lookups import Lookup, as_lookup, map_both_ends
+from odflux.operators.lookups import Lookup, LookupSize, map_both_ends
 from odflux.operators.reshape import swap_endpoints, with_netflow
 
 
@@ -107,36 +107,51 @@ def stack_lookups(geographies: list[Geography]) -> Lookup:
     return Lookup(reduce(DataFrame.unionByName, parts), ["geography", "lad_code"]).warn_if_not_unique()
 
 
-def map_to_geographies(flows: DataFrame, geographies: list[Geography]) -> DataFrame:
-    """Both ends in every geography, from one scan of the flows."""
-    stacked = stack_lookups(geographies)
-    mapped = stacked.keyed_by("lad_code").attach(
-        flows.select("gss_in", "gss_out", "year", "value"), "gss_in", {"geography": "geography", "area": "area_in"}
+def alike_areas(stacked: Lookup) -> Lookup:
+    """One local area to stand for all that belong to the same areas.
+
+    Its size is bounded by the stacked lookup's, so it is not measured again.
+    """
+    groups = F.sort_array(F.collect_list(F.struct("geography", "area")))
+    members = stacked.frame.groupBy("lad_code").agg(groups.alias("belongs_to"))
+    alike = F.min("lad_code").over(Window.partitionBy("belongs_to"))
+    lookup = Lookup(members.select("lad_code", alike.alias("alike")), "lad_code", stacked.max_bytes, stacked.salts)
+    lookup.size = LookupSize(stacked.size.rows, 2 * stacked.size.bytes)
+    return lookup
+
+
+def map_to_geographies(flows: DataFrame, stacked: Lookup) -> DataFrame:
+    """Both ends in every geography; the flows are repeated once per geography."""
+    mapped = stacked.keyed_by("lad_code").attach(flows, "gss_in", {"geography": "geography", "area": "area_in"})
+    mapped = stacked.attach(mapped, ["geography", "gss_out"], {"area": "area_out"})
+    return mapped.select(
+        "geography", F.col("area_in").alias("gss_in"), F.col("area_out").alias("gss_out"), "year", "value"
     )
-    return stacked.attach(mapped, ["geography", "gss_out"], {"area": "area_out"})
 
 
 def od_by_geography(flows: DataFrame, geographies: list[Geography]) -> DataFrame:
-    """``aggregate_areas`` for several geographies at once."""
-    mapped = map_to_geographies(flows, geographies).select(
-        "geography", F.col("area_in").alias("gss_in"), F.col("area_out").alias("gss_out"), "year", "value"
-    )
+    """``aggregate_areas`` for several geographies from one scan.
+
+    Local areas that agree in every geography are summed as one first, so
+    only the few sums that remain are repeated per geography.
+    """
+    stacked = stack_lookups(geographies)
+    alike = map_both_ends(flows.select("gss_in", "gss_out", "year", "value"), alike_areas(stacked), "alike")
+    ends = alike.select(F.col("area_in").alias("gss_in"), F.col("area_out").alias("gss_out"), "year", "value")
+    mapped = map_to_geographies(sum_value(ends, "gss_in", "gss_out", "year"), stacked)
     return sum_value(mapped, "geography", "gss_in", "gss_out", "year")
 
 
 def gross_by_geography(od: DataFrame, geographies: list[Geography], decimals: int = 1) -> DataFrame:
-    """Gross flows of the reported areas of ``od_by_geography`` or a mapped flow table."""
+    """Gross flows of the reported areas of ``od_by_geography``."""
     gross = _gross(od, decimals, {"gss_in": "inflow", "gss_out": "outflow"}, "geography", "year")
     reported = [g.reported(F.col("geography"), F.col("gss_code")) for g in geographies]
     return gross.where(reduce(lambda a, b: a | b, reported)).select("gss_code", "year", "inflow", "outflow")
 
 
 def final_gross_flows(flows: DataFrame, geographies: list[Geography], decimals: int = 1) -> DataFrame:
-    """Reported gross flows of all geographies from one scan and one small shuffle."""
-    mapped = map_to_geographies(flows, geographies).select(
-        "geography", F.col("area_in").alias("gss_in"), F.col("area_out").alias("gss_out"), "year", "value"
-    )
-    return gross_by_geography(with_keys(mapped, ["gss_in", "gss_out", "year"]), geographies, decimals)
+    """Reported gross flows of all geographies from one scan."""
+    return gross_by_geography(od_by_geography(flows, geographies), geographies, decimals)
 
 
 def flows_outer_swapped(flows: DataFrame) -> DataFrame:

@@ -106,10 +106,6 @@ def _equal(columns: Sequence[str]) -> Column:
     return reduce(lambda left, right: left & right, pairs)
 
 
-def as_lookup(lookup: Lookup | DataFrame, keys: str | Sequence[str]) -> Lookup:
-    return lookup if isinstance(lookup, Lookup) else Lookup(lookup, keys)
-
-
 def map_both_ends(
     flows: DataFrame,
     lookup: Lookup | DataFrame,
@@ -117,8 +113,12 @@ def map_both_ends(
     key: str = "lad_code",
     into: tuple[str, str] = ("area_in", "area_out"),
 ) -> DataFrame:
-    """Map gss_in and gss_out through one lookup; flows with an unmapped end drop."""
-    lookup = as_lookup(lookup, key).warn_if_not_unique()
+    """Map gss_in and gss_out through one lookup; flows with an unmapped end drop.
+
+    A plain table is measured and its key checked; a ``Lookup`` is used as it is.
+    """
+    if not isinstance(lookup, Lookup):
+        lookup = Lookup(lookup, key).warn_if_not_unique()
     area_in, area_out = into
     mapped = lookup.attach(flows, "gss_in", {target: area_in})
     return lookup.attach(mapped, "gss_out", {target: area_out})
