@@ -19,6 +19,7 @@ from odflux.functions.nulls import all_present, sum_or_zero, with_keys
 from odflux.operators.audit import columns_with_area_names
 from odflux.operators.filters import code_pattern_split
 from odflux.operators.lookups import Lookup
+from odflux.sources.workdir import keep
 
 # Earliest vintage, latest vintage, and separator of split targets.
 FIRST_VINTAGE = 2008
@@ -121,7 +122,8 @@ def recode_lookup(changes: DataFrame, recode_from_year: int, recode_to_year: int
 
 
 def as_recode_lookup(changes: DataFrame, recode_from_year: int, recode_to_year: int) -> Lookup:
-    return Lookup(recode_lookup(changes, recode_from_year, recode_to_year), FROM)
+    """``recode_lookup`` evaluated once, for both ends of any number of tables."""
+    return Lookup(keep(recode_lookup(changes, recode_from_year, recode_to_year)), FROM)
 
 
 def relabel(df: DataFrame, column: str, lookup: Lookup) -> DataFrame:

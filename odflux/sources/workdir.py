@@ -5,7 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 
 CHECKPOINT_DIR = "spark.checkpoint.dir"
 
@@ -23,3 +23,11 @@ def work_root(spark: SparkSession) -> str:
 def fresh_path(spark: SparkSession, name: str) -> str:
     """A path under the work root that no other run uses."""
     return f"{work_root(spark)}/odflux-{uuid.uuid4().hex}/{name}"
+
+
+def keep(df: DataFrame) -> DataFrame:
+    """Evaluate a small table once, into the shared folder, for all its later uses."""
+    spark = df.sparkSession
+    if not spark.conf.get(CHECKPOINT_DIR, None):
+        spark.sparkContext.setCheckpointDir(work_root(spark))
+    return df.checkpoint()

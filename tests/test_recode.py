@@ -1,5 +1,6 @@
 from __future__ import annotations
 
+import random
 import warnings
 
 import pytest
@@ -68,6 +69,32 @@ def test_code_that_returns_is_unchanged(spark):
     assert lookup_of(spark, [("A", "B", 2021), ("B", "A", 2022)], 2021, 2022) == {"B": "A"}
 
 
+@pytest.mark.parametrize("seed", range(4))
+def test_walk_against_single_codes_followed_by_hand(spark, seed):
+    """Each start is followed on its own, as sets of codes per year."""
+    rng = random.Random(seed)
+    edges = [(rng.choice("ABCDEFGH"), rng.choice("ABCDEFGHIJ"), rng.randrange(2019, 2025)) for _ in range(14)]
+    first, last = 2020, 2023
+    backward = [(b, a, year - 1) for a, b, year in edges]
+    for used, years, ends in ((edges, range(first, last + 1), (first, last)), (backward, range(last, first - 1, -1), (last, first))):
+        expected = {}
+        for start in {a for a, _, _ in used}:
+            reached = set()
+            for year in years:
+                moves = {(a, b) for a, b, y in used if y == year}
+                reached |= {b for a, b in moves if a == start}
+                reached = {b for code in reached for b in ({b for a, b in moves if a == code} or {code})}
+            if reached - {start}:
+                expected[start] = ", ".join(sorted(reached - {start}))
+        assert lookup_of(spark, edges, *ends) == expected
+
+
+def test_closed_lookup_is_kept_in_the_shared_folder(spark, changes, plan):
+    lookup = recode.as_recode_lookup(changes, 2021, 2023)
+    assert "Join" not in plan(lookup.frame)
+    assert spark.sparkContext.getCheckpointDir().startswith("file:" + spark.conf.get("spark.checkpoint.dir"))
+
+
 def brute_force(df, lookup, column):
     """Relabel and sum by hand."""
     sums = {}
