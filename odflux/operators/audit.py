@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Iterable
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -54,16 +54,30 @@ def changed_codes(before: DataFrame, after: DataFrame, column: str) -> DataFrame
 
 
 def added_removed_codes(before: DataFrame, after: DataFrame, column: str) -> DataFrame:
-    """Codes gained and lost, with the number of distinct codes before and after."""
-    sides = code_sides(before, after, column)
-    change = F.when(F.col("side") == "left_only", "removed").when(F.col("side") == "right_only", "added")
-    n_before = F.count_if(F.col("side") != "right_only")
-    n_after = F.count_if(F.col("side") != "left_only")
-    counts = sides.agg(n_before.alias("n_before"), n_after.alias("n_after"))
-    listed = sides.select("code", change.alias("change")).where(F.col("change").isNotNull())
-    return listed.select("change", "code").unionByName(
-        counts.select(F.inline(F.array(*[F.struct(F.lit(n).alias("change"), F.col(n).cast("string").alias("code")) for n in ("n_before", "n_after")])))
+    """Codes gained and lost, with the number of distinct codes before and after.
+
+    Each code is laid out under every heading it counts for, so the tables
+    are read once for the lists and the counts.
+    """
+    side, code = F.col("side"), F.col("code")
+
+    def entry(heading: str, condition: Column, listed: Column) -> Column:
+        return F.when(condition, F.struct(F.lit(heading).alias("change"), listed.alias("listed")))
+
+    nothing = F.lit(None).cast("string")
+    entries = F.array(
+        entry("removed", side == "left_only", code),
+        entry("added", side == "right_only", code),
+        entry("n_before", side != "right_only", nothing),
+        entry("n_after", side != "left_only", nothing),
     )
+    laid_out = code_sides(before, after, column).select(F.inline(entries)).where(F.col("change").isNotNull())
+    counts = F.explode(F.array(F.lit("n_before"), F.lit("n_after"))).alias("change")
+    zeros = before.sparkSession.range(1).select(counts, nothing.alias("listed"), F.lit(0).alias("n"))
+    entered = laid_out.withColumn("n", F.lit(1)).unionByName(zeros)
+    counted = entered.groupBy("change", "listed").agg(F.sum("n").cast("string").alias("n"))
+    is_count = F.col("change").startswith("n_")
+    return counted.select("change", F.when(is_count, F.col("n")).otherwise(F.col("listed")).alias("code"))
 
 
 def changes_for_years(changes: DataFrame, years: Iterable[int], column: str = "year") -> DataFrame:

@@ -41,7 +41,7 @@ def rows():
 def plan():
     """Executed plan as text."""
 
-    def of(df: DataFrame, capture=None) -> str:
+    def of(df: DataFrame) -> str:
         return df._jdf.queryExecution().executedPlan().toString()
 
     return of

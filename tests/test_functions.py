@@ -7,6 +7,7 @@ from odflux.functions import nulls
 from odflux.functions.codes import is_local_authority, labelled
 from odflux.functions.numbers import round_half_even
 from odflux.functions.text import basename, first_year, output_name
+from odflux.settings import settings_for
 
 
 def test_missing_differs_from_everything(spark, rows):
@@ -57,3 +58,17 @@ def test_paths_years_and_names(spark):
         ("plain", None, "plain"),
         ("y.xls", None, "y.csv"),
     ]
+
+
+@pytest.mark.parametrize(
+    "input_bytes, cores, partitions", [(0, 8, 8), (10 * 2**30, 8, 40), (10**14, 8000, 40_000)]
+)
+def test_shuffle_partitions_grow_to_a_bound(input_bytes, cores, partitions):
+    assert settings_for(input_bytes, cores)["spark.sql.shuffle.partitions"] == str(partitions)
+
+
+def test_a_pattern_of_words_equals_the_regex(spark):
+    df = spark.createDataFrame([("E06",), ("XW0",), ("S12E",), ("e06",), (None,)], "c string")
+    words = [r[0] for r in df.select(nulls.holds(F.col("c"), "E0|W0")).collect()]
+    regex = [r[0] for r in df.select(nulls.holds(F.col("c"), "(E0|W0)")).collect()]
+    assert words == regex == [True, True, False, False, False]

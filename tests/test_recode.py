@@ -224,6 +224,7 @@ def test_code_audits(spark, rows):
     assert rows(audit.added_removed_codes(before, after, "code")) == [
         ("added", "c"), ("n_after", "3"), ("n_before", "3"), ("removed", "a"),
     ]
+    assert rows(audit.added_removed_codes(before.limit(0), after.limit(0), "code")) == [("n_after", "0"), ("n_before", "0")]
     joined = before.distinct().alias("l").join(after.distinct().alias("r"), F.expr("l.code <=> r.code"), "full_outer")
     one_sided = joined.where("l.code IS NULL AND r.code IS NOT NULL OR r.code IS NULL AND l.code IS NOT NULL")
     assert one_sided.count() == audit.changed_codes(before, after, "code").count()
