@@ -8,9 +8,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odflux.functions import codes
-from odflux.functions.nulls import sum_or_zero, with_keys
+from odflux.functions.nulls import all_present, sum_or_zero, with_keys
 from odflux.operators.filters import age_at_most, both_ends_in_set, code_prefix
-from odflux.operators.flows import Geography, net_flows, stack_lookups, sum_value
+from odflux.operators.flows import Geography, alike_areas, net_flows, stack_lookups, sum_value
 from odflux.operators.lookups import Lookup, map_both_ends
 from odflux.operators.reshape import pivot_age_wide, unpivot_direction
 
@@ -90,18 +90,34 @@ def pair_and_totals(pairs: DataFrame) -> DataFrame:
 def children_branches(
     flows: DataFrame, region: Geography, inner_outer: Geography, max_age: int = CHILD_AGE
 ) -> DataFrame:
-    """``region_flows``, ``inner_outer_flows`` and ``london_rollup`` from one scan, told apart by ``branch``."""
-    lookup = stack_lookups([region, inner_outer])
+    """``region_flows``, ``inner_outer_flows`` and ``london_rollup`` from one scan, told apart by ``branch``.
+
+    The scan sums over local areas alike in both geographies, and keeps the
+    origin of flows into London boroughs; the sums are then laid out under
+    each branch.
+    """
+    stacked = stack_lookups([region, inner_outer])
+    alike = alike_areas(stacked)
+    found = alike.attach(_children(flows, max_age), "gss_in", {"alike": "alike_in"}, "left")
+    found = alike.attach(found, "gss_out", {"alike": "alike_out"}, "left")
+    keys = ["alike_in", "alike_out", "london_in", "london_out", "age", "year"]
+    into_london = codes.is_london_borough(F.col("gss_in"))
+    local = found.withColumns(
+        {
+            "london_in": F.when(into_london, F.lit(codes.LONDON_REGION)),
+            "london_out": F.when(into_london, F.col("gss_out")),
+        }
+    ).where(all_present(["london_in", "london_out"]) | all_present(["alike_in", "alike_out"]))
+    sums = with_keys(local, ["age", "year"]).groupBy(*keys).agg(sum_or_zero("value").alias("value"))
+
+    laid_out = sums.withColumn("branch", F.explode(F.array(*map(F.lit, (region.name, inner_outer.name, LONDON)))))
+    mapped = stacked.attach(laid_out, ["branch", "alike_in"], {"area": "area_in"}, "left")
+    mapped = stacked.attach(mapped, ["branch", "alike_out"], {"area": "area_out"}, "left")
     is_london = F.col("branch") == LONDON
-    branches = F.array(F.lit(region.name), F.lit(inner_outer.name), F.lit(LONDON))
-    tagged = _children(flows, max_age).withColumn("branch", F.explode(branches))
-    tagged = tagged.where(~is_london | codes.is_london_borough(F.col("gss_in")))
-    mapped = lookup.attach(tagged, ["branch", "gss_in"], {"area": "area_in"}, "left")
-    mapped = lookup.attach(mapped, ["branch", "gss_out"], {"area": "area_out"}, "left")
     areas = mapped.select(
         "branch",
-        F.when(is_london, codes.LONDON_REGION).otherwise(F.col("area_in")).alias("gss_in"),
-        F.when(is_london, F.col("gss_out")).otherwise(F.col("area_out")).alias("gss_out"),
+        F.when(is_london, F.col("london_in")).otherwise(F.col("area_in")).alias("gss_in"),
+        F.when(is_london, F.col("london_out")).otherwise(F.col("area_out")).alias("gss_out"),
         "age",
         "year",
         "value",
