@@ -6,7 +6,7 @@ from collections.abc import Mapping
 from dataclasses import dataclass
 from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from odflux.functions import codes
@@ -112,12 +112,14 @@ def alike_areas(stacked: Lookup) -> Lookup:
 
     Its size is bounded by the stacked lookup's, so it is not measured again.
     """
+    bound = LookupSize(stacked.size.rows, 2 * stacked.size.bytes)
     groups = F.sort_array(F.collect_list(F.struct("geography", "area")))
     members = stacked.frame.groupBy("lad_code").agg(groups.alias("belongs_to"))
-    alike = F.min("lad_code").over(Window.partitionBy("belongs_to"))
-    lookup = Lookup(members.select("lad_code", alike.alias("alike")), "lad_code", stacked.max_bytes, stacked.salts)
-    lookup.size = LookupSize(stacked.size.rows, 2 * stacked.size.bytes)
-    return lookup
+    first = Lookup(members.groupBy("belongs_to").agg(F.min("lad_code").alias("alike")), "belongs_to", *stacked.limits)
+    first.size = bound
+    alike = Lookup(first.attach(members, "belongs_to", {"alike": "alike"}).drop("belongs_to"), "lad_code", *stacked.limits)
+    alike.size = bound
+    return alike
 
 
 def map_to_geographies(flows: DataFrame, stacked: Lookup) -> DataFrame:

@@ -69,9 +69,13 @@ class Lookup:
             )
         return self
 
+    @property
+    def limits(self) -> tuple[int, int]:
+        return self.max_bytes, self.salts
+
     def keyed_by(self, *keys: str) -> Lookup:
         """The same table under other key columns, without measuring it again."""
-        other = Lookup(self.frame, keys, self.max_bytes, self.salts)
+        other = Lookup(self.frame, keys, *self.limits)
         other.size = self.size
         return other
 

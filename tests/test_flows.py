@@ -101,3 +101,30 @@ def test_net_flows_are_antisymmetric_and_equal_the_join(random_flows, rows):
 def test_net_flows_add_up_repeated_keys(spark, rows):
     df = spark.createDataFrame([("a", "b", 1, 2012, 1.0), ("a", "b", 1, 2012, 2.0)], "gss_in string, gss_out string, age int, year int, value double")
     assert rows(ops.net_flows(df)) == [("a", "b", 1, 2012, 3.0, 0.0, 3.0), ("b", "a", 1, 2012, 0.0, 3.0, -3.0)]
+
+
+def test_geographies_beyond_the_bound_give_the_same_pairs(random_flows, areas, rows, monkeypatch):
+    df = random_flows(10)
+    small = rows(ops.od_by_geography(df, areas))
+    build = ops.stack_lookups
+
+    def tiny(geographies):
+        stacked = build(geographies)
+        stacked.max_bytes, stacked.salts = 0, 3
+        return stacked
+
+    monkeypatch.setattr(ops, "stack_lookups", tiny)
+    large = ops.od_by_geography(df, areas)
+    assert rows(large) == small and small
+
+
+def test_repeated_keys_multiply_in_every_geography(spark, rows):
+    df = spark.createDataFrame([("a", "b", 2012, 1.0), ("c", "b", 2012, 2.0)], OD)
+    first = spark.createDataFrame([("a", "x"), ("a", "y"), ("b", "z"), ("c", "x"), ("c", "y")], "lad_code string, t string")
+    second = spark.createDataFrame([("a", "k"), ("b", "k")], "lad_code string, t string")
+    parts = [ops.Geography("one", first, "t"), ops.Geography("two", second, "t")]
+    with pytest.warns(UserWarning, match="not unique"):
+        od = ops.od_by_geography(df, parts)
+        for g in parts:
+            separate = ops.aggregate_areas(df, g.lookup, g.target)
+            assert rows(od.where(F.col("geography") == g.name).drop("geography")) == rows(separate)
