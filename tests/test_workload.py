@@ -8,6 +8,7 @@ import pytest
 
 import __spark_entry__ as entry_points
 from tools.check_queries import compare, views
+from workload.queries import QUERIES, SQL
 
 SF_DIR = "/root/testdata/sf0.001"
 pytestmark = pytest.mark.skipif(not Path(SF_DIR).exists(), reason="the given tables are not here")
@@ -20,7 +21,7 @@ def con():
 
 def test_twins_belong_to_queries():
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
-    assert set(entry_points.queries()) - set(entry_points.oracle_sql()) == {"file_listing_by_suffix"}
+    assert set(QUERIES) - set(SQL) == {"file_listing_by_suffix"}
 
 
 def test_entry(spark):
@@ -29,7 +30,7 @@ def test_entry(spark):
     assert df.count() > 0
 
 
-@pytest.mark.parametrize("name", entry_points.queries())
+@pytest.mark.parametrize("name", QUERIES)
 def test_query_equals_sql(spark, con, name):
     outcome = compare(spark, con, SF_DIR, name)
     assert outcome.startswith(("same", "rows only")) and "TYPES" not in outcome, outcome
