@@ -18,7 +18,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Token counts and hashes of ids and decoded text."""
     path = public_tokenizers.path(TOKENIZER)
-    return bpe.digests(bpe.decode(bpe.encode(docs, path), path))
+    return bpe.digests(bpe.round_trip(docs, path))
 
 
 STAGES = [("quality rules", quality_rules), ("bpe", encode)]

@@ -30,9 +30,9 @@ from pyspark.sql import functions as F
 from odflux.llm.words import slices
 
 # Distinct stretches of text a worker remembers between batches; more are encoded anew in each batch.
-REMEMBERED_WORDS = 700_000
+REMEMBERED_WORDS = 400_000
 REMEMBERED_PAIRS = 2_000_000
-SLICE_BYTES = 6 << 20
+SLICE_BYTES = 3 << 20
 
 # The contractions, letters, digits and marks that the vocabulary's pre-tokenizer takes apart.
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\p{White_Space}\p{L}\p{N}]+"
@@ -275,10 +275,29 @@ def decode(encoded: DataFrame, path: str) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         known = vocabulary(path)
         for batch in slices(batches, "ids", SLICE_BYTES):
-            texts = [known.decode(ids) for ids in batch.column("ids").to_pylist()]
-            yield pa.record_batch([batch.column("doc_id"), batch.column("ids"), pa.array(texts, pa.string())], names=["doc_id", "ids", "text"])
+            yield _decoded(known, batch.column("doc_id"), batch.column("ids").to_pylist())
 
-    return encoded.select("doc_id", "ids").mapInArrow(run, "doc_id long, ids binary, text string")
+    return encoded.select("doc_id", "ids").mapInArrow(run, DECODED)
+
+
+DECODED = "doc_id long, ids binary, text string"
+
+
+def _decoded(known: Vocabulary, doc_ids: pa.Array, ids: list[bytes]) -> pa.RecordBatch:
+    texts = pa.array(map(known.decode, ids), pa.string())
+    return pa.record_batch([doc_ids, pa.array(ids, pa.binary()), texts], names=["doc_id", "ids", "text"])
+
+
+def round_trip(docs: DataFrame, path: str) -> DataFrame:
+    """``decode(encode(docs))`` by one worker a task instead of two."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known = vocabulary(path)
+        for batch in slices(batches, most=SLICE_BYTES):
+            ids = known.encode([t or "" for t in batch.column("text").to_pylist()])
+            yield _decoded(known, batch.column("doc_id"), ids)
+
+    return docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(run, DECODED)
 
 
 def digests(decoded: DataFrame) -> DataFrame:

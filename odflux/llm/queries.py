@@ -4,8 +4,9 @@ from __future__ import annotations
 
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from odflux.llm import bpe, quality
+from odflux.llm import bpe, pii, quality, reshard, url_rules
 from workload.registry import Query
 
 LLM_QUERIES: dict[str, Query] = {}
@@ -28,11 +29,70 @@ def query(name: str, sql: str | None = None):
     return enter
 
 
+@query("op2_anchor_pii")
+def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [f"n_{kind}" for kind in pii.BASE_KINDS]
+    return found.select("doc_id", *counts, F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans")
+
+
+OLD_SHARDS, NEW_SHARDS = 12, 16
+
+
+@query("op3_flow_reshard")
+def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
+    text = F.coalesce("text", F.lit("")).cast("binary")
+    docs = table(spark, sf_dir, "documents").select(
+        F.col("doc_id").cast("long"), (F.octet_length(text) + 1).cast("long").alias("size"), F.crc32(text).alias("text_crc32")
+    )
+    placed = reshard.reshard(docs, F.pmod(F.xxhash64("doc_id"), F.lit(OLD_SHARDS)), NEW_SHARDS, ["size", "text_crc32"])
+    return placed.select(
+        "doc_id", "size", "text_crc32", F.lit("bytes").alias("law"), "shard", F.col("slot").cast("long"),
+        F.lit(None).cast("int").alias("grown_shard"), "old_shard",
+    )
+
+
+RULES = [
+    ("com", "/", "allow"),
+    ("example.com", "/en/", "block"),
+    ("www.example.com", "/en/", "allow"),
+    ("net", "/es/", "block"),
+    ("net", "/fr/", "block"),
+]
+
+OP5_SQL = """
+WITH parts AS (
+    SELECT page_id,
+        CASE WHEN contains(url, '://') THEN substr(url, strpos(url, '://') + 3) END AS rest
+    FROM pages
+), split AS (
+    SELECT page_id,
+        translate(coalesce(regexp_extract(rest, '^[^/?#]*'), ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS host,
+        coalesce(regexp_extract(rest, '^[^/?#]*([^?#]*)', 1), '') AS path
+    FROM parts
+), rules(h, p, v) AS (
+    VALUES ('com', '/', 'allow'), ('example.com', '/en/', 'block'), ('www.example.com', '/en/', 'allow'),
+        ('net', '/es/', 'block'), ('net', '/fr/', 'block')
+), best AS (
+    SELECT page_id, host, path, max_by(struct_pack(r := h || p, v := v), length(h || p)) AS b
+    FROM split LEFT JOIN rules ON (host = h OR ends_with(host, '.' || h)) AND starts_with(path, p)
+    GROUP BY ALL
+)
+SELECT page_id, host, path, b.r AS rule, coalesce(b.v, 'allow') AS verdict FROM best
+"""
+
+
+@query("op5_range_rules", OP5_SQL)
+def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
+    rules = spark.createDataFrame(RULES, "host string, path string, verdict string")
+    return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
+
+
 @query("op9_trie_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return bpe.digests(bpe.decode(bpe.encode(docs, path), path))
+    return bpe.digests(bpe.round_trip(docs, path))
 
 
 @query("op10_line_crf")
