@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odflux.llm import bpe, pii, quality, reshard, url_rules
+from odflux.llm import bpe, mixing, pii, quality, reshard, url_rules
 from workload.registry import Query
 
 LLM_QUERIES: dict[str, Query] = {}
@@ -52,6 +52,17 @@ def op3(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+MIXTURE = mixing.Target(entropy=0.5)
+
+
+@query("op4_temperature_mix")
+def op4(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    return mixing.mix(docs, MIXTURE).select(
+        "doc_id", "source", F.col("mix_tokens").alias("n_tokens"), F.col("mix_epoch").alias("epoch"), F.col("mix_start").alias("start")
+    )
+
+
 RULES = [
     ("com", "/", "allow"),
     ("example.com", "/en/", "block"),
