@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odflux.llm import bpe, mixing, pii, quality, reshard, url_rules
+from odflux.llm import bpe, embedding_dedup, mixing, pii, quality, reshard, toxicity, url_rules
 from workload.registry import Query
 
 LLM_QUERIES: dict[str, Query] = {}
@@ -99,6 +99,36 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+OP7_SQL = """
+WITH usable AS (
+    SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
+    WHERE label IS NOT NULL AND vec_id IS NOT NULL AND embedding IS NOT NULL
+        AND len([x FOR x IN embedding IF x IS NULL OR NOT isfinite(x)]) = 0
+        AND len([x FOR x IN embedding IF x <> 0]) > 0
+), pairs AS (
+    SELECT a.vec_id AS a, b.vec_id AS b FROM usable a JOIN usable b ON a.label = b.label AND a.vec_id <> b.vec_id
+    WHERE list_cosine_similarity(a.v, b.v) >= 0.98
+), reach(a, b) AS (
+    SELECT a, b FROM pairs UNION SELECT reach.a, pairs.b FROM reach JOIN pairs ON reach.b = pairs.a
+), least AS (SELECT a, min(b) AS c FROM reach GROUP BY a),
+counted AS (SELECT a, count(DISTINCT b) AS n FROM pairs GROUP BY a)
+SELECT vec_id, coalesce(n, 0) AS n_links, least(vec_id, coalesce(c, vec_id)) AS component_id,
+    vec_id <= coalesce(c, vec_id) AS kept
+FROM embeddings LEFT JOIN counted ON vec_id = counted.a LEFT JOIN least ON vec_id = least.a
+""".replace("WITH usable", "WITH RECURSIVE usable")
+
+
+@query("op7_int8_tiles", OP7_SQL)
+def op7(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return embedding_dedup.near_vectors(table(spark, sf_dir, "embeddings"))
+
+
+@query("op8_weak_toxicity")
+def op8(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score(docs, toxicity.train(docs, table(spark, sf_dir, "labels").select("doc_id", "toxic")))
+
+
 @query("op9_trie_bpe")
 def op9(spark: SparkSession, sf_dir: str) -> DataFrame:
     path = public_tokenizers.path(TOKENIZER)
