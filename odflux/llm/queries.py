@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odflux.llm import bpe, embedding_dedup, mixing, pii, quality, reshard, toxicity, url_rules
+from odflux.llm import bpe, embedding_dedup, jaccard_join, mixing, pii, quality, reshard, toxicity, url_rules
 from workload.registry import Query
 
 LLM_QUERIES: dict[str, Query] = {}
@@ -99,6 +99,11 @@ def op5(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_rules.judge_urls(table(spark, sf_dir, "pages"), rules)
 
 
+@query("op6_chosen_path")
+def op6(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return jaccard_join.near_texts(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 OP7_SQL = """
 WITH usable AS (
     SELECT vec_id, label, CAST(embedding AS DOUBLE[]) AS v FROM embeddings
