@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odflux.llm import bpe, embedding_dedup, jaccard_join, mixing, pii, quality, reshard, toxicity, url_rules
+from odflux.llm import bpe, embedding_dedup, jaccard_join, mixing, phrase_dedup, pii, quality, reshard, toxicity, url_rules
 from workload.registry import Query
 
 LLM_QUERIES: dict[str, Query] = {}
@@ -29,6 +29,13 @@ def query(name: str, sql: str | None = None):
     return enter
 
 
+@query("op1_relative_parse")
+def op1(spark: SparkSession, sf_dir: str) -> DataFrame:
+    parsed = phrase_dedup.remove_repeats(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    kept = F.sha2(F.col("kept_text").cast("binary"), 256).alias("kept_sha256")
+    return parsed.select("doc_id", "n_words", "n_removed", kept, F.size("factors").alias("n_factors"))
+
+
 @query("op2_anchor_pii")
 def op2(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = pii.find_spans(table(spark, sf_dir, "documents").select("doc_id", "text"))
