@@ -16,9 +16,10 @@ the whole sets. Runs repeat until a pair at the threshold is missed with a
 chance below one in a million when its buckets are small, and about one in a
 thousand when every one of them has to be split to the full depth.
 
-Buckets that are still large at full depth hold groups of texts that are alike
-all over. The groups they connect are compared in tiles, all members with all,
-and left out of the brute force.
+A large bucket whose members are mostly like one of them would not come apart
+however often it were split, and neither does one still large at full depth.
+The members that such buckets connect are a group. A group is compared in
+tiles, all members with all, and its pairs are left out of the brute force.
 
 An empty or missing text, or one without an id, links with nothing. Rows of one
 id and one text are one document; n_links counts rows.
@@ -47,6 +48,8 @@ BRANCH = 1 / 0.7
 BUCKET = 96
 DEPTH = 5
 TILE = 256
+# A large bucket is not split if this part of it looks like its member of least key.
+ALIKE_PART = 0.5
 DEVIATIONS = 5.0
 # Columns of the token matrix of a tile that are multiplied at a time.
 STRIP = 4096
@@ -176,6 +179,22 @@ def _alike(low_a: np.ndarray, low_b: np.ndarray, size_a: np.ndarray, size_b: np.
     return fits
 
 
+def alike_buckets(large: DataFrame, threshold: float) -> DataFrame:
+    """Paths of large buckets that splitting would not take apart."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            low, pivot = (_matrix(batch.column(c), (COORDINATES,)) for c in ("low", "pivot"))
+            size, pivot_size = (batch.column(c).to_numpy() for c in ("size", "pivot_size"))
+            alike = _alike(low, pivot, size, pivot_size, threshold)
+            yield pa.record_batch([batch.column("path"), pa.array(alike.astype(np.int64))], names=["path", "alike"])
+
+    first = large.groupBy("path").agg(F.min_by(F.struct(F.col("low").alias("pivot"), F.col("size").alias("pivot_size")), "key").alias("p"))
+    rows = large.select("path", "size", "low").join(first.select("path", "p.*"), "path")
+    judged = rows.mapInArrow(run, "path long, alike long").groupBy("path").agg(F.avg("alike").alias("part"))
+    return judged.where(F.col("part") >= ALIKE_PART).select("path")
+
+
 def small_bucket_pairs(rows: DataFrame, threshold: float) -> DataFrame:
     """Pairs (a, b) of keys of a bucket that may be linked; those of one ``group`` are left out."""
 
@@ -305,19 +324,26 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     # Split large buckets level by level.
     tokens = classes.select("key", "size", "low", "high")
     level = _with_counts(start_paths(classes)).join(tokens, "key")
-    small, large = [], None
+    small, whole = [], []
     for depth in range(DEPTH):
         higher = F.when(F.col("members") > BUCKET, F.col("high")).alias("high")
         level = stored(level.select("path", "members", "key", "size", "low", higher), f"level-{depth}")
         small.append(level.where(F.col("members") <= BUCKET).select("path", "key", "size", "low"))
         large = level.where(F.col("members") > BUCKET)
-        if depth + 1 < DEPTH:
-            if _is_empty(large):
-                break
-            level = _with_counts(next_paths(large))
-
-    # Groups of classes that share large buckets at full depth.
-    to_least = large.select("path", "key").join(large.groupBy("path").agg(F.min("key").alias("least")), "path")
+        if _is_empty(large):
+            break
+        if depth + 1 == DEPTH:
+            whole.append(large.select("path", "key"))
+            break
+        alike = stored(alike_buckets(large, threshold), f"alike-{depth}")
+        whole.append(large.join(alike, "path", "left_semi").select("path", "key"))
+        level = _with_counts(next_paths(large.join(alike, "path", "left_anti")))
+
+    # Groups of classes that share large buckets which stay whole.
+    kept = whole[0] if whole else small[0].where("false").select("path", "key")
+    for more in whole[1:]:
+        kept = kept.union(more)
+    to_least = kept.join(kept.groupBy("path").agg(F.min("key").alias("least")), "path")
     star = components(to_least.select(F.col("key").alias("a"), F.col("least").alias("b")).distinct())
     members = stored(star.select(F.col("node").alias("key"), F.col("component").alias("group")).union(
         star.select(F.col("component").alias("key"), F.col("component").alias("group")).distinct()
