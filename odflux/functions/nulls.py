@@ -15,8 +15,8 @@ from pyspark.sql import types as T
 
 
 def differs(left: Column, right: Column) -> Column:
-    """``left != right`` where a missing side counts as different."""
-    return F.coalesce(left != right, F.lit(True))
+    """``left != right`` where a missing side counts as different; against a constant it can be pushed to the scan."""
+    return left.isNull() | right.isNull() | (left != right)
 
 
 def holds(column: Column, pattern: str) -> Column:
@@ -30,7 +30,7 @@ def holds(column: Column, pattern: str) -> Column:
         found = reduce(lambda left, right: left | right, (column.contains(word) for word in words))
     else:
         found = column.rlike(pattern)
-    return F.coalesce(found, F.lit(False))
+    return column.isNotNull() & found
 
 
 def sum_or_zero(column: Column | str) -> Column:

@@ -115,9 +115,9 @@ def alike_areas(stacked: Lookup) -> Lookup:
     bound = LookupSize(stacked.size.rows, 2 * stacked.size.bytes)
     groups = F.sort_array(F.collect_list(F.struct("geography", "area")))
     members = stacked.frame.groupBy("lad_code").agg(groups.alias("belongs_to"))
-    first = Lookup(members.groupBy("belongs_to").agg(F.min("lad_code").alias("alike")), "belongs_to", *stacked.limits)
+    first = Lookup(members.groupBy("belongs_to").agg(F.min("lad_code").alias("alike")), "belongs_to", stacked.max_bytes)
     first.size = bound
-    alike = Lookup(first.attach(members, "belongs_to", {"alike": "alike"}).drop("belongs_to"), "lad_code", *stacked.limits)
+    alike = Lookup(first.attach(members, "belongs_to", {"alike": "alike"}).drop("belongs_to"), "lad_code", stacked.max_bytes)
     alike.size = bound
     return alike
 

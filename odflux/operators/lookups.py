@@ -1,8 +1,9 @@
 """Joins of a large flow table with a lookup whose size is measured first.
 
 A lookup that is proven small is broadcast, so the flow table is not
-shuffled. A lookup beyond the bound is joined by shuffle, with the flow rows
-spread over salts so that no code, however common, lands in one task.
+shuffled. A lookup beyond the bound is joined by a plain shuffle: adaptive
+execution splits the flow rows of a common code over several tasks, and filters
+on the result still reach the scan.
 """
 
 from __future__ import annotations
@@ -17,7 +18,6 @@ from pyspark.sql import functions as F
 
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
-SALTS = 64
 
 
 @dataclass(frozen=True)
@@ -29,13 +29,10 @@ class LookupSize:
 class Lookup:
     """A lookup table, its key columns, and the largest size to broadcast."""
 
-    def __init__(
-        self, frame: DataFrame, keys: str | Sequence[str], max_bytes: int = BROADCAST_BYTES, salts: int = SALTS
-    ) -> None:
+    def __init__(self, frame: DataFrame, keys: str | Sequence[str], max_bytes: int = BROADCAST_BYTES) -> None:
         self.frame = frame
         self.keys = [keys] if isinstance(keys, str) else list(keys)
         self.max_bytes = max_bytes
-        self.salts = salts
         missing = [k for k in self.keys if k not in frame.columns]
         if missing:
             raise ValueError(f"lookup has no column {missing}")
@@ -69,13 +66,9 @@ class Lookup:
             )
         return self
 
-    @property
-    def limits(self) -> tuple[int, int]:
-        return self.max_bytes, self.salts
-
     def keyed_by(self, *keys: str) -> Lookup:
         """The same table under other key columns, without measuring it again."""
-        other = Lookup(self.frame, keys, *self.limits)
+        other = Lookup(self.frame, keys, self.max_bytes)
         other.size = self.size
         return other
 
@@ -96,13 +89,7 @@ class Lookup:
 
     def _join(self, df: DataFrame, columns: str | Sequence[str], side: DataFrame, how: str) -> DataFrame:
         columns = [columns] if isinstance(columns, str) else list(columns)
-        if self.fits:
-            return df.join(F.broadcast(side), _equal(columns), how)
-        # The salt comes from the partition the row is in, so copies of one row
-        # are spread too, and a task that runs again gives the same salt.
-        salted = df.withColumn("__salt", F.pmod(F.spark_partition_id(), F.lit(self.salts)))
-        copies = side.withColumn("__copy", F.explode(F.sequence(F.lit(0), F.lit(self.salts - 1))))
-        return salted.join(copies, _equal(columns) & (F.col("__salt") == F.col("__copy")), how)
+        return df.join(F.broadcast(side) if self.fits else side.hint("merge"), _equal(columns), how)
 
 
 def _equal(columns: Sequence[str]) -> Column:

@@ -185,7 +185,7 @@ def _known_codes(lookup: Lookup) -> Lookup:
     """The lookup with its targets as further codes, which have no new code."""
     targets = lookup.frame.select(F.col(TO).alias(FROM), F.lit(None).cast("string").alias(TO))
     known = lookup.frame.select(FROM, TO).unionByName(targets).groupBy(FROM).agg(F.max(TO).alias(TO))
-    return Lookup(known.withColumn("known", F.lit(True)), FROM, *lookup.limits)
+    return Lookup(known.withColumn("known", F.lit(True)), FROM, lookup.max_bytes)
 
 
 def _new_ends(marked: DataFrame, columns: Sequence[str]) -> DataFrame:

@@ -4,29 +4,25 @@ from __future__ import annotations
 
 MIB = 1024 * 1024
 SPLIT_BYTES = 128 * MIB
-LARGE_SPLIT_BYTES = 1024 * MIB
-LARGE_INPUT_BYTES = 10 * 1024 * 1024 * MIB
 SHUFFLE_BYTES = 256 * MIB
-MOST_PARTITIONS = 40_000
 
 
-def settings_for(input_bytes: int, cores: int) -> dict[str, str]:
+def settings_for(
+    input_bytes: int, cores: int, split_bytes: int = SPLIT_BYTES, shuffle_bytes: int = SHUFFLE_BYTES
+) -> dict[str, str]:
     """Splits, shuffle partitions and file sizes.
 
-    Partitions grow with the input up to a bound, past which more of them
-    would only make the blocks of a shuffle too small to fetch; aggregates and
-    sorts spill instead. Adaptive execution merges what turns out small and
-    splits skewed joins. Output folders are few, so their files are written
+    Splits have ``split_bytes`` each, and there is a shuffle partition for every
+    ``shuffle_bytes`` of input. Adaptive execution merges what turns out small
+    and splits skewed joins. Output folders are few, so their files are written
     side by side without a sort.
     """
-    partitions = max(cores, min(-(-input_bytes // SHUFFLE_BYTES), MOST_PARTITIONS))
-    split = LARGE_SPLIT_BYTES if input_bytes > LARGE_INPUT_BYTES else SPLIT_BYTES
     return {
         "spark.sql.adaptive.enabled": "true",
         "spark.sql.adaptive.skewJoin.enabled": "true",
         "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(SPLIT_BYTES),
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.files.maxPartitionBytes": str(split),
+        "spark.sql.shuffle.partitions": str(max(cores, -(-input_bytes // shuffle_bytes))),
+        "spark.sql.files.maxPartitionBytes": str(split_bytes),
         "spark.sql.maxConcurrentOutputFileWriters": "64",
         "spark.sql.session.timeZone": "UTC",
     }

@@ -1,79 +1,178 @@
 """Cleaning and combining yearly sheets, whatever their headers.
 
-Sheets are CSV files. Files with equal headers are read by one scan, so plans
-grow with the number of distinct headers and not with the number of files.
+Sheets are CSV files. One job finds the header line of every sheet; only the
+distinct headers come to the driver. The lines of all sheets are then scanned
+once for each distinct header and parsed by its schema, so neither plans nor
+jobs grow with the number of files.
 """
 
 from __future__ import annotations
 
 import csv
 from collections import Counter, defaultdict
-from concurrent.futures import ThreadPoolExecutor
-from functools import partial
+from dataclasses import dataclass
+from urllib.parse import quote
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from odflux.functions.nulls import nan_to_null
 from odflux.functions.text import basename, output_name
 from odflux.operators.filters import drop_any_null
+from odflux.operators.lookups import Lookup
 from odflux.operators.sets import union_by_name
 from odflux.schemas import sheet_schema
-from odflux.sources.readers import list_files, read_csv
-
-# Header lines fetched at the same time, each by a job of one short task.
-HEADER_READERS = 8
+from odflux.sources.readers import read_csv
+from odflux.sources.workdir import keep
 
 Header = tuple[str, ...]
 
+MODES = ("FAILFAST", "DROPMALFORMED")
+
+
+def parse_header(line: str) -> Header:
+    return tuple(next(csv.reader([line])))
+
 
 def header_of(spark: SparkSession, path: str) -> Header:
     """Column names on the first line of a file; only its first block is touched."""
     line = spark.read.text(path).first()
-    return tuple(next(csv.reader([line["value"]]))) if line else ()
+    return parse_header(line["value"]) if line else ()
+
+
+def _lines(spark: SparkSession, root: str) -> DataFrame:
+    """path, begin of the split and value of every line that is not blank, of all CSV files under ``root``."""
+    text = spark.read.format("text").option("recursiveFileLookup", True).option("pathGlobFilter", "*.csv").load(root)
+    lines = text.select(F.col("_metadata.file_path").alias("path"), F.col("_metadata.file_block_start").alias("begin"), "value")
+    return lines.where(F.trim("value") != "")
+
+
+@dataclass
+class Sheets:
+    """Sheets under a folder: ``headers`` (path, header line) and the distinct headers among them."""
+
+    spark: SparkSession
+    root: str
+    headers: DataFrame
+    lines_of: dict[Header, list[str]]
+
+    @classmethod
+    def under(cls, spark: SparkSession, root: str) -> Sheets:
+        """Files without a line are left out."""
+        placed = _lines(spark, root).withColumn("at", F.monotonically_increasing_id())
+        headers = keep(placed.groupBy("path").agg(F.min_by("value", F.struct("begin", "at")).alias("header")))
+        lines_of = defaultdict(list)
+        for row in headers.select("header").distinct().orderBy("header").collect():
+            lines_of[parse_header(row["header"])].append(row["header"])
+        return cls(spark, root, headers, dict(lines_of))
+
+    def rows(self, header: Header, schema: T.StructType, mode: str) -> DataFrame:
+        """path, the columns of ``schema`` and ``__bad`` (whether the line does not fit) of all sheets with a header."""
+        mine = self.headers.where(F.col("header").isin(self.lines_of[header]))
+        lines = Lookup(mine, "path").attach(_lines(self.spark, self.root), "path", {"header": "__header"})
+        body = F.col("value") != F.col("__header")
+        wanted = T.StructType([*schema.fields, T.StructField("__corrupt", T.StringType())])
+        options = {"mode": "PERMISSIVE" if mode != "FAILFAST" else mode, "columnNameOfCorruptRecord": "__corrupt"}
+        # Parsed only where the header is known to be another line, so a filter on the result never parses before the join.
+        parsed = lines.where(body).select("path", F.when(body, F.from_csv("value", _ddl(wanted), options)).alias("r"))
+        return parsed.select("path", *[F.col("r")[f.name].alias(f.name) for f in schema], F.col("r.__corrupt").isNotNull().alias("__bad"))
 
 
-def sheets_by_header(spark: SparkSession, root: str) -> dict[Header, list[str]]:
-    """Paths of the CSV files under ``root``; files without a line are left out."""
-    paths = [row["path"] for row in list_files(spark, root, ".csv").select("path").orderBy("path").collect()]
-    by_header = defaultdict(list)
-    with ThreadPoolExecutor(HEADER_READERS) as pool:
-        for path, header in zip(paths, pool.map(partial(header_of, spark), paths)):
-            if header:
-                by_header[header].append(path)
-    return dict(by_header)
+def _ddl(schema: T.StructType) -> str:
+    return ", ".join(f"`{f.name.replace('`', '``')}` {f.dataType.simpleString()}" for f in schema)
+
+
+def _fitting(rows: DataFrame, mode: str, skip_unreadable: bool) -> tuple[DataFrame, DataFrame]:
+    """Rows to keep, and the paths of sheets left out whole because a line does not fit."""
+    bad = rows.where("__bad").select("path").distinct()
+    if skip_unreadable:
+        return rows.join(bad, "path", "left_anti").drop("__bad"), bad
+    return rows.where(~F.col("__bad")).drop("__bad"), bad.limit(0)
+
+
+def _parsing_mode(mode: str, skip_unreadable: bool) -> str:
+    if mode not in MODES:
+        raise ValueError(f"mode is one of {MODES}")
+    return "PERMISSIVE" if skip_unreadable and mode == "FAILFAST" else mode
 
 
 def text_schema(header: Header) -> T.StructType:
     return T.StructType([T.StructField(name, T.StringType()) for name in header])
 
 
-def clean_sheets(spark: SparkSession, root: str, out: str, prefix: str = "", skip_unreadable: bool = False) -> int:
-    """Write every sheet without its rows that lack a value; gives the number of sheets.
+def _relative(spark: SparkSession, root: str) -> Column:
+    """Path of a sheet below ``root``; its own name where ``root`` is the file."""
+    base = spark._jvm.org.apache.hadoop.fs.Path(root).toUri().getPath().rstrip("/")
+    plain = F.regexp_replace("path", "^[A-Za-z][A-Za-z0-9+.-]*:(//[^/]*)?", "")
+    return F.when(plain.startswith(quote(base) + "/"), F.substr(plain, F.lit(len(quote(base)) + 2))).otherwise(basename(plain))
 
-    A sheet becomes the folder ``source=<cleaned name>`` of CSV files, which a
-    second run replaces.
-    """
-    sheets = sheets_by_header(spark, root)
-    for header, paths in sheets.items():
-        raw = read_csv(spark, paths, text_schema(header), skip_unreadable)
-        named = raw.withColumn("source", output_name(basename(F.input_file_name()), prefix))
-        writer = drop_any_null(named).write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
-        writer.option("header", True).partitionBy("source").csv(out)
-    return sum(map(len, sheets.values()))
+
+def _cleaned_name(spark: SparkSession, root: str, prefix: str) -> Column:
+    """Output name of a sheet: its relative folder, and its file name rewritten."""
+    relative = F.url_decode(F.replace(_relative(spark, root), F.lit("+"), F.lit("%2B")))
+    name = basename(relative)
+    folder = F.substr(relative, F.lit(1), F.length(relative) - F.length(name))
+    return F.concat(folder, output_name(name, prefix))
 
 
-def combine_cleaned(spark: SparkSession, root: str, skip_unreadable: bool = False) -> DataFrame | None:
+@dataclass
+class Cleaned:
+    """How many sheets were processed, and the paths of those left out."""
+
+    sheets: int
+    skipped: DataFrame
+
+
+def clean_sheets(
+    spark: SparkSession, root: str, out: str, prefix: str = "", skip_unreadable: bool = False, mode: str = "FAILFAST", needs: Header = ()
+) -> Cleaned:
+    """Write every sheet without its rows that lack a value.
+
+    A sheet becomes the folder ``source=<relative path, its name cleaned>`` of
+    CSV files. ``out`` then holds the sheets of this run and no others. Two
+    sheets with one output name are an error. With ``skip_unreadable``, sheets
+    without the columns in ``needs`` or with a line that does not fit its header
+    are left out whole.
+    """
+    sheets = Sheets.under(spark, root)
+    named = keep(sheets.headers.withColumn("source", _cleaned_name(spark, root, prefix)))
+    clash = named.groupBy("source").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select("source").first()
+    if clash:
+        raise ValueError(f"several sheets would be written as {clash['source']}")
+    skipped, save = named.select("path").limit(0), "overwrite"
+    for header in sheets.lines_of:
+        if skip_unreadable and not set(needs) <= set(header):
+            skipped = skipped.union(named.where(F.col("header").isin(sheets.lines_of[header])).select("path"))
+            continue
+        raw = sheets.rows(header, text_schema(header), _parsing_mode(mode, skip_unreadable))
+        fitting, bad = _fitting(nan_to_null(raw), mode, skip_unreadable)
+        skipped = skipped.union(bad)
+        full = drop_any_null(Lookup(named, "path").attach(fitting, "path", {"source": "source"}).drop("path"))
+        full.write.mode(save).option("partitionOverwriteMode", "static").option("header", True).partitionBy("source").csv(out)
+        save = "append"
+    skipped = keep(skipped)
+    return Cleaned(named.count() - skipped.count(), skipped)
+
+
+def combine_cleaned(
+    spark: SparkSession, root: str, skip_unreadable: bool = False, mode: str = "FAILFAST", needs: Header = ()
+) -> DataFrame | None:
     """All sheets under ``root`` as one table with lower-case headers.
 
     Columns a sheet lacks are missing in its rows. None when there is no sheet.
+    ``skip_unreadable`` as in ``clean_sheets``.
     """
+    sheets = Sheets.under(spark, root)
     scans = []
-    for header, paths in sheets_by_header(spark, root).items():
+    for header in sheets.lines_of:
+        if skip_unreadable and not {n.lower() for n in needs} <= {c.lower() for c in header}:
+            continue
         clashes = [n for n, k in Counter(c.lower() for c in header).items() if k > 1]
         if clashes:
-            raise ValueError(f"columns of {paths[0]} differ only by case: {clashes}")
-        scans.append(read_csv(spark, paths, sheet_schema(list(header)), skip_unreadable))
+            raise ValueError(f"columns of sheets with header {header} differ only by case: {clashes}")
+        rows = sheets.rows(header, sheet_schema(list(header)), _parsing_mode(mode, skip_unreadable))
+        scans.append(nan_to_null(_fitting(rows, mode, skip_unreadable)[0].drop("path")))
     return union_by_name(scans) if scans else None
 
 

@@ -12,7 +12,7 @@ CHECKPOINT_DIR = "spark.checkpoint.dir"
 
 def work_root(spark: SparkSession) -> str:
     """The session's checkpoint folder; a temporary one only on a local master."""
-    root = spark.conf.get(CHECKPOINT_DIR, None)
+    root = spark.conf.get(CHECKPOINT_DIR, None) or spark.sparkContext.getCheckpointDir()
     if root:
         return root.rstrip("/")
     if not spark.conf.get("spark.master", "").startswith("local"):
@@ -28,6 +28,6 @@ def fresh_path(spark: SparkSession, name: str) -> str:
 def keep(df: DataFrame) -> DataFrame:
     """Evaluate a small table once, into the shared folder, for all its later uses."""
     spark = df.sparkSession
-    if not spark.conf.get(CHECKPOINT_DIR, None):
+    if not spark.sparkContext.getCheckpointDir():
         spark.sparkContext.setCheckpointDir(work_root(spark))
     return df.checkpoint()

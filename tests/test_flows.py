@@ -69,9 +69,9 @@ def test_unmapped_ends_drop_and_moves_inside_stay(spark, rows):
 def test_large_lookup_gives_the_same_areas(random_flows, areas, rows, plan):
     df = random_flows(7)
     region = areas[1]
-    large = Lookup(region.lookup, "lad_code", max_bytes=0, salts=3)
+    large = Lookup(region.lookup, "lad_code", max_bytes=0)
     by_shuffle = map_both_ends(df, large, region.target)
-    assert "__salt" in plan(by_shuffle)
+    assert "SortMergeJoin" in plan(by_shuffle)
     assert rows(by_shuffle) == rows(map_both_ends(df, region.lookup, region.target))
     assert "BroadcastHashJoin" in plan(map_both_ends(df, region.lookup, region.target))
 
@@ -110,7 +110,7 @@ def test_geographies_beyond_the_bound_give_the_same_pairs(random_flows, areas, r
 
     def tiny(geographies):
         stacked = build(geographies)
-        stacked.max_bytes, stacked.salts = 0, 3
+        stacked.max_bytes = 0
         return stacked
 
     monkeypatch.setattr(ops, "stack_lookups", tiny)

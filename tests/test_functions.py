@@ -61,9 +61,9 @@ def test_paths_years_and_names(spark):
 
 
 @pytest.mark.parametrize(
-    "input_bytes, cores, partitions", [(0, 8, 8), (10 * 2**30, 8, 40), (10**14, 8000, 40_000)]
+    "input_bytes, cores, partitions", [(0, 8, 8), (10 * 2**30, 8, 40), (10**14, 8000, 372_530), (0, 3, 3)]
 )
-def test_shuffle_partitions_grow_to_a_bound(input_bytes, cores, partitions):
+def test_shuffle_partitions_grow_with_the_input(input_bytes, cores, partitions):
     assert settings_for(input_bytes, cores)["spark.sql.shuffle.partitions"] == str(partitions)
 
 

@@ -169,11 +169,11 @@ def test_one_pass_shuffles_once(changes, random_flows, plan):
 def test_lookup_beyond_the_bound_gives_the_same_rows(spark, changes, rows, plan, random_flows):
     df = random_flows(4)
     small = recode.as_recode_lookup(changes, 2021, 2023)
-    large = Lookup(small.frame, small.keys, max_bytes=0, salts=4)
+    large = Lookup(small.frame, small.keys, max_bytes=0)
     assert small.fits and not large.fits
     assert rows(recode.relabel(df, "gss_in", large)) == rows(recode.relabel(df, "gss_in", small))
     assert rows(large.restrict(df, "gss_in")) == rows(small.restrict(df, "gss_in"))
-    assert "__salt" in plan(recode.relabel(df, "gss_in", large))
+    assert "SortMergeJoin" in plan(recode.relabel(df, "gss_in", large))
 
 
 @pytest.mark.parametrize(

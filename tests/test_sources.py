@@ -150,7 +150,7 @@ def test_sheets_are_cleaned_one_by_one(spark, rows, root):
     text_file(spark, f"{raw}/detail2012on2021and2023las.csv", "outla,inla,Year,Sex,Age_0", "a,b,2012,F,1", "a,b,2012,,2", ",,,,")
     text_file(spark, f"{raw}/detail2013on2021and2023las.csv", "outla,inla,Year,Sex,Age_0,Age_1", "a,c,2013,M,3,4", "a,c,2013,M,3,")
     for _ in range(2):
-        assert clean_sheets(spark, raw, clean) == 2
+        assert clean_sheets(spark, raw, clean).sheets == 2
     assert sorted(p.name for p in Path(clean).glob("source=*")) == [
         "source=detail2012on2023las.csv", "source=detail2013on2023las.csv",
     ]
@@ -160,6 +160,51 @@ def test_sheets_are_cleaned_one_by_one(spark, rows, root):
     assert rows(files_read(combine_cleaned(spark, clean))) == [(2,)]
 
 
+def test_sheets_of_one_name_stay_apart(spark, rows, root):
+    raw, clean = f"{root}/raw dir", f"{root}/clean"
+    for year in ("2012", "2013"):
+        Path(f"{raw}/{year}").mkdir(parents=True)
+    text_file(spark, f"{raw}/2012/flows.csv", "outla,inla,Year,Sex,Age_0", "a,b,2012,F,1")
+    text_file(spark, f"{raw}/2013/flows.csv", "outla,inla,Year,Sex,Age_0,Age_1", "a,c,2013,M,3,4")
+    assert clean_sheets(spark, raw, clean).sheets == 2
+    assert rows(combine_cleaned(spark, clean), "outla", "inla", "year", "age_1") == [("a", "b", 2012, None), ("a", "c", 2013, 4.0)]
+    text_file(spark, f"{raw}/2012/flows.csv", "outla,inla,Year,Sex,Age_0", "a,b,2012,F,")
+    assert clean_sheets(spark, raw, clean).sheets == 2
+    assert rows(combine_cleaned(spark, clean), "inla", "year") == [("c", 2013)]
+    text_file(spark, f"{raw}/a2023.csv", "outla,inla", "a,b")
+    text_file(spark, f"{raw}/a2021and2023.csv", "outla,inla", "a,b")
+    with pytest.raises(ValueError, match="a2023.csv"):
+        clean_sheets(spark, raw, clean)
+
+
+def test_unreadable_sheets_are_left_out_whole(spark, rows, root):
+    raw, clean = f"{root}/raw", f"{root}/clean"
+    Path(raw).mkdir()
+    text_file(spark, f"{raw}/good.csv", "outla,inla,Year,Sex,Age_0", "a,b,2012,F,1")
+    text_file(spark, f"{raw}/torn.csv", "outla,inla,Year,Sex,Age_0", "a,c,2012,F,1", "a,d,2012")
+    text_file(spark, f"{raw}/noise.csv", "<html>", "a,b")
+    with pytest.raises(Exception, match="(?i)malformed"):
+        clean_sheets(spark, raw, clean)
+    done = clean_sheets(spark, raw, clean, skip_unreadable=True, needs=("outla", "inla"))
+    assert done.sheets == 1
+    assert sorted(r["path"].rsplit("/", 1)[-1] for r in done.skipped.collect()) == ["noise.csv", "torn.csv"]
+    assert rows(combine_cleaned(spark, clean), "outla", "inla") == [("a", "b")]
+    assert rows(combine_cleaned(spark, raw, skip_unreadable=True, needs=("outla",)), "outla", "inla") == [("a", "b")]
+
+
+def test_jobs_do_not_grow_with_the_number_of_sheets(spark, root):
+    def jobs(name: str, n: int) -> int:
+        Path(f"{root}/{name}").mkdir()
+        for k in range(n):
+            text_file(spark, f"{root}/{name}/{k}.csv", "outla,inla,year,sex,age_0", f"a{k},b,2012,F,1")
+        spark.sparkContext.setJobGroup(name, name)
+        assert combine_cleaned(spark, f"{root}/{name}").count() == n
+        spark.sparkContext.setJobGroup("rest", "rest")
+        return len(spark.sparkContext.statusTracker().getJobIdsForGroup(name))
+
+    assert jobs("many", 60) <= jobs("few", 3) + 2
+
+
 def test_lookup_codes_stay_text(spark, rows, root):
     text_file(spark, f"{root}/lookup.csv", "name,lad_code,region_code", "x,0012,E1", "y,E06,E2")
     assert rows(read_lookup(spark, f"{root}/lookup.csv", "lad_code", "region_code")) == [("0012", "E1"), ("E06", "E2")]

@@ -21,7 +21,7 @@ def con():
 
 def test_twins_belong_to_queries():
     assert set(entry_points.oracle_sql()) <= set(entry_points.queries())
-    assert set(QUERIES) - set(SQL) == {"file_listing_by_suffix"}
+    assert set(QUERIES) == set(SQL)
 
 
 def test_entry(spark):

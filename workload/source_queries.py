@@ -5,7 +5,6 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odflux.functions.text import basename
 from odflux.schemas import FLOWS_LONG
 from odflux.sources import readers, releases, sinks
 from odflux.sources.workdir import fresh_path
@@ -18,10 +17,19 @@ FLOWS = with_tables("SELECT gss_out, gss_in, sex, year, age, value FROM flows")
 ORDER = ["gss_out", "gss_in", "sex", "year", "age"]
 
 
-@query("file_listing_by_suffix")
+@query(
+    "file_listing_by_suffix",
+    with_tables(f"SELECT year, count(*) AS n, sum(value) AS value FROM flows WHERE year < {CUTOVER} GROUP BY year"),
+)
 def file_listing_by_suffix(spark: SparkSession, d: str) -> DataFrame:
-    listing = readers.list_files(spark, d, ".parquet")
-    return listing.select(basename(F.col("path")).alias("file_name"), "n_bytes")
+    """Flows written as CSV up to a year and as Parquet from it on; only the files of one suffix are read."""
+    root = fresh_path(spark, "by_suffix")
+    flows = flows_long(spark, d)
+    sinks.write_csv(flows.where(F.col("year") < CUTOVER), f"{root}/old")
+    sinks.write_parquet(flows.where(F.col("year") >= CUTOVER), f"{root}/new")
+    paths = [row["path"] for row in readers.list_files(spark, root, ".csv").select("path").collect()]
+    found = readers.read_csv(spark, paths, FLOWS_LONG)
+    return found.groupBy("year").agg(F.count(F.lit(1)).alias("n"), F.sum("value").alias("value"))
 
 
 @query("parquet_scan", "SELECT l_orderkey, l_linenumber, l_quantity FROM lineitem")
@@ -126,8 +134,13 @@ def combine_cleaned(spark: SparkSession, d: str) -> DataFrame:
     ),
 )
 def clean_sheets(spark: SparkSession, d: str) -> DataFrame:
-    """Sheets with gaps written, cleaned into new files, and these combined."""
+    """Sheets with gaps, of one name in two folders and with different headers, beside one that is no sheet."""
     raw, clean = fresh_path(spark, "raw"), fresh_path(spark, "clean")
-    sinks.write_csv(standin.sheet(spark, d, fill=False), raw)
-    releases.clean_sheets(spark, raw, clean, prefix="clean_")
+    sheet = standin.sheet(spark, d, fill=False)
+    old, new = (sheet.where(F.col("Year") < CUTOVER), sheet.where(F.col("Year") >= CUTOVER))
+    for folder, part in (("old", old), ("new", new.select("inla", "outla", *new.columns[2:]))):
+        named = part.withColumn("name", F.lit("flows.csv")).coalesce(1)
+        named.write.option("header", True).partitionBy("name").csv(f"{raw}/{folder}")
+    standin.table(spark, d, "pages").select("url").coalesce(1).write.option("header", True).csv(f"{raw}/noise")
+    releases.clean_sheets(spark, raw, clean, prefix="clean_", skip_unreadable=True, needs=("outla", "inla"))
     return releases.combine_cleaned(spark, clean)

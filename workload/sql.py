@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable
 
 from workload.standin import (
@@ -98,10 +99,27 @@ CTES |= _closure(
 )
 
 
+def _uses(text: str, name: str) -> int:
+    return len(re.findall(rf"\b{name}\b", text))
+
+
 def with_tables(body: str, **extra: str) -> str:
-    """``body`` behind all shared expressions and the extra ones."""
-    ctes = ", ".join(f"{name} AS ({text})" for name, text in (CTES | extra).items())
-    return f"WITH {ctes} {body}"
+    """``body`` behind the expressions it needs; those used more than once are evaluated once."""
+    known = CTES | extra
+    needed, open_ends = set(), [body]
+    while open_ends:
+        text = open_ends.pop()
+        for name in known:
+            if name not in needed and _uses(text, name):
+                needed.add(name)
+                open_ends.append(known[name])
+    texts = [body, *(known[name] for name in needed)]
+    parts = []
+    for name in known:
+        if name in needed:
+            once = "" if sum(_uses(t, name) for t in texts) < 2 else "MATERIALIZED "
+            parts.append(f"{name} AS {once}({known[name]})")
+    return f"WITH {', '.join(parts)} {body}" if parts else body
 
 
 def recoded(source: str, column: str, aggregate: str | None = "sum") -> str:
@@ -133,13 +151,11 @@ HISTORICAL = {
     "historical_both": recoded_end("historical_in", "gss_out"),
 }
 
-UNPIVOTED = " UNION ALL ".join(
-    f"""SELECT outla AS gss_out, inla AS gss_in,
-               CASE "Sex" WHEN 'F' THEN 'female' WHEN 'M' THEN 'male' END AS sex,
-               "Year" AS year, {age} AS age, "Age_{age}" AS value
-        FROM sheet WHERE "Year" >= {CUTOVER} AND "Age_{age}" <> 0"""
-    for age in AGES
-)
+UNPIVOTED = f"""
+        SELECT * FROM (SELECT outla AS gss_out, inla AS gss_in,
+               CASE "Sex" WHEN 'F' THEN 'female' WHEN 'M' THEN 'male' END AS sex, "Year" AS year,
+               unnest([{', '.join(map(str, AGES))}]) AS age, unnest([{', '.join(f'"Age_{age}"' for age in AGES)}]) AS value
+        FROM sheet WHERE "Year" >= {CUTOVER}) WHERE value <> 0"""
 
 
 def gross(source: str, where: str = "true") -> str:
