@@ -337,7 +337,8 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             break
         alike = stored(alike_buckets(large, threshold), f"alike-{depth}")
         whole.append(large.join(alike, "path", "left_semi").select("path", "key"))
-        level = _with_counts(next_paths(large.join(alike, "path", "left_anti")))
+        # Written, as counting the buckets and joining the counts would split twice.
+        level = _with_counts(stored(next_paths(large.join(alike, "path", "left_anti")), f"split-{depth}"))
 
     # Groups of classes that share large buckets which stay whole.
     kept = whole[0] if whole else small[0].where("false").select("path", "key")

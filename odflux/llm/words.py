@@ -7,6 +7,7 @@ tab, form feed and carriage return.
 from __future__ import annotations
 
 from collections.abc import Iterable, Iterator
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -22,7 +23,10 @@ ROLL_A, ROLL_B = 0x2545F4914F6CDD1D, 0xD1342543DE82EF95
 MIXER = U(0xD6E8FEB86659FD93)
 
 # Text handled at a time within a task.
-SLICE_BYTES = 4 << 20
+SLICE_BYTES = 1 << 20
+# Bytes whose powers are kept in a table; those of later bytes are products of two.
+STRIP_BITS = 16
+STRIP = 1 << STRIP_BITS
 
 
 def mix(h: np.ndarray) -> np.ndarray:
@@ -51,18 +55,35 @@ def as_bytes(column: pa.Array) -> list[bytes]:
     return pc.fill_null(column.cast(pa.binary()), b"").to_pylist()
 
 
-_powers: dict[int, np.ndarray] = {}
+@lru_cache
+def _strip_powers(base: int) -> np.ndarray:
+    steps = np.full(STRIP, base, U)
+    steps[0] = 1
+    return np.cumprod(steps)
 
 
-def _power(base: int, n: int) -> np.ndarray:
-    known = _powers.get(base)
-    if known is None or len(known) < n:
-        steps = np.full(max(n, SLICE_BYTES + (1 << 16)), base, U)
-        steps[0] = 1
-        known = np.cumprod(steps)
-        if len(known) <= 4 * SLICE_BYTES:
-            _powers[base] = known
-    return known[:n]
+def _strip_bases(base: int, n: int) -> np.ndarray:
+    """Powers of a base at the beginning of each strip of n bytes."""
+    steps = np.full(n // STRIP + 1, pow(base, STRIP, 1 << 64), U)
+    steps[0] = 1
+    return np.cumprod(steps)
+
+
+def _powers_at(base: int, places: np.ndarray, n: int) -> np.ndarray:
+    return _strip_powers(base)[places & (STRIP - 1)] * _strip_bases(base, n)[places >> STRIP_BITS]
+
+
+def _running_sums(buffer: np.ndarray, base: int) -> np.ndarray:
+    """Sums of bytes times powers of the base, strip by strip, so what is needed besides the sums is small."""
+    n = len(buffer)
+    sums = np.zeros(n + 1, U)
+    for at, scale in zip(range(0, n, STRIP), _strip_bases(base, n)):
+        strip = buffer[at : at + STRIP].astype(U) + U(1)
+        strip *= _strip_powers(base)[: len(strip)]
+        strip *= scale
+        strip[:1] += sums[at : at + 1]
+        np.cumsum(strip, out=sums[at + 1 : at + 1 + len(strip)])
+    return sums
 
 
 class Words:
@@ -94,13 +115,10 @@ class Words:
 
     def span_hashes(self, start: np.ndarray, end: np.ndarray, base: int = BASE_A) -> np.ndarray:
         """Polynomial hash of the bytes of each span, mixed with its length."""
-        n = len(self.buffer)
         sums = self._sums.get(base)
         if sums is None:
-            sums = self._sums[base] = np.zeros(n + 1, U)
-            np.cumsum((self.buffer.astype(U) + U(1)) * _power(base, n), out=sums[1:])
-        shift = _power(pow(base, -1, 1 << 64), n + 1)
-        value = (sums[end] - sums[start]) * shift[start]
+            sums = self._sums[base] = _running_sums(self.buffer, base)
+        value = (sums[end] - sums[start]) * _powers_at(pow(base, -1, 1 << 64), start, len(self.buffer))
         return mix(value ^ ((end - start).astype(U) * U(ROLL_B)))
 
     def count(self, marked: np.ndarray) -> np.ndarray:
