@@ -44,7 +44,7 @@ WHITE_SPACE = regex.compile(r"\p{White_Space}+")
 SEPARATORS = re.compile("[\x1c-\x1f]")
 
 
-def _byte_letters() -> list[str]:
+def byte_letters() -> list[str]:
     """The letter that stands for each byte: printable Latin-1 for itself, the others from 256 on."""
     plain = {*range(33, 127), *range(161, 173), *range(174, 256)}
     letters, spare = [], 256
@@ -86,7 +86,7 @@ class Vocabulary:
         self.text_of = [""] * (max(*ids.values(), *self.special.values()) + 1)
         for text, number in {**ids, **self.special}.items():
             self.text_of[number] = text
-        letters = _byte_letters()
+        letters = byte_letters()
         self.spelled: dict[int, str] = {}  # symbols of a token
         for byte, letter in enumerate(letters):
             self.spelled[ids[letter]] = chr(byte)

@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odflux.llm import bpe, embedding_dedup, jaccard_join, mixing, phrase_dedup, pii, quality, reshard, toxicity, url_rules
+from odflux.llm import alignment, bpe, embedding_dedup, jaccard_join, mixing, phrase_dedup, pii, quality, reshard, toxicity, url_rules
 from workload.registry import Query
 
 LLM_QUERIES: dict[str, Query] = {}
@@ -153,3 +153,12 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
     return quality.quality(docs, quality.train_field(docs, labels))
+
+
+SIDE_A, SIDE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
+
+
+@query("op13_span_align")
+def op13(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return alignment.score_links(docs, public_tokenizers.path(SIDE_A), public_tokenizers.path(SIDE_B))
