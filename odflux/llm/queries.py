@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odflux.llm import alignment, bpe, embedding_dedup, jaccard_join, mixing, phrase_dedup, pii, quality, reshard, toxicity, url_rules
+from odflux.llm import alignment, bpe, embedding_dedup, jaccard_join, mixing, phrase_dedup, pii, quality, ranked_search, reshard, toxicity, url_rules
 from workload.registry import Query
 
 LLM_QUERIES: dict[str, Query] = {}
@@ -155,6 +155,45 @@ def op10(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality.quality(docs, quality.train_field(docs, labels))
 
 
+OP11_SQL = r"""
+WITH d AS (
+    SELECT row_number() OVER () AS k, doc_id,
+        regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+') AS t
+    FROM documents
+), corpus AS (
+    SELECT count(*) FILTER (len(t) > 0) AS n_docs, CAST(sum(len(t)) AS BIGINT) AS n_terms FROM d
+), i AS (
+    SELECT row_number() OVER () AS i, item_id,
+        unnest(regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+            '[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+')) AS term
+    FROM benchmark
+), q AS (
+    SELECT i, item_id, term, count(*) AS times FROM i GROUP BY ALL
+), held AS (
+    SELECT k, doc_id, n, term, count(*) AS tf
+    FROM (SELECT k, doc_id, len(t) AS n, unnest(t) AS term FROM d) WHERE term IN (SELECT term FROM q) GROUP BY ALL
+), weighted AS (
+    SELECT term, CAST(floor(1000 * ln((2 * n_docs + 2) / (2 * count(*) + 1))) AS BIGINT) AS w
+    FROM held, corpus GROUP BY term, n_docs
+), scored AS (
+    SELECT i, item_id, k, doc_id,
+        CAST(sum(times * w * ((1000000000 * tf) // (1000 * tf + 8 * (100 - 75 + (75 * n * n_docs) // n_terms)))) AS BIGINT) AS score
+    FROM q JOIN held USING (term) JOIN weighted USING (term), corpus GROUP BY ALL
+), ranked AS (
+    SELECT item_id, row_number() OVER (PARTITION BY i ORDER BY score DESC, doc_id NULLS LAST, k) AS rank, doc_id, score
+    FROM scored WHERE score > 0
+)
+SELECT item_id, CAST(rank AS INTEGER) AS rank, doc_id, score FROM ranked WHERE rank <= 10
+"""
+
+
+@query("op11_mask_search", OP11_SQL)
+def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return ranked_search.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
+
+
 SIDE_A, SIDE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
