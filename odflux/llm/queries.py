@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from odflux.llm import alignment, bpe, embedding_dedup, jaccard_join, mixing, phrase_dedup, pii, quality, ranked_search, reshard, toxicity, url_rules
+from odflux.llm import alignment, bpe, embedding_dedup, jaccard_join, mixing, phrase_dedup, pii, quality, ranked_search, reshard, secrets, toxicity, url_rules
 from workload.registry import Query
 
 LLM_QUERIES: dict[str, Query] = {}
@@ -194,6 +194,13 @@ def op11(spark: SparkSession, sf_dir: str) -> DataFrame:
     return ranked_search.search(docs, table(spark, sf_dir, "benchmark").select("item_id", "text"))
 
 
+@query("op12_char_network")
+def op12(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.scan(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    counts = [f"n_{kind}" for kind in secrets.KINDS]
+    return found.select("doc_id", *counts, F.sha2(F.col("base").cast("binary"), 256).alias("base_sha256"), "spans", "doubted")
+
+
 SIDE_A, SIDE_B = "byte_bpe_50k.json", "piece_bpe_32k.model"
 
 
