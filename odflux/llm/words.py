@@ -17,14 +17,17 @@ U = np.uint64
 BLANK = np.zeros(256, bool)
 BLANK[[9, 10, 11, 12, 13, 32]] = True
 
-# Odd multipliers of the hashes; any odd numbers serve.
-BASE_A, BASE_B = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F
+# A hash of bytes joins two polynomials modulo primes below 2^31, given by prime and base. Modulo a power of two,
+# whole families of different strings would meet in any base.
+BASE_A = ((2147483647, 1103515249), (2147483629, 893714567))
+BASE_B = ((2147483587, 1722304123), (2147483579, 671088643))
+# Odd multipliers of hashes of words; any odd numbers serve.
 ROLL_A, ROLL_B = 0x2545F4914F6CDD1D, 0xD1342543DE82EF95
 MIXER = U(0xD6E8FEB86659FD93)
 
 # Text handled at a time within a task.
 SLICE_BYTES = 1 << 20
-# Bytes whose powers are kept in a table; those of later bytes are products of two.
+# Bytes whose sums run without reduction.
 STRIP_BITS = 16
 STRIP = 1 << STRIP_BITS
 
@@ -56,34 +59,48 @@ def as_bytes(column: pa.Array) -> list[bytes]:
 
 
 @lru_cache
-def _strip_powers(base: int) -> np.ndarray:
-    steps = np.full(STRIP, base, U)
-    steps[0] = 1
-    return np.cumprod(steps)
-
-
-def _strip_bases(base: int, n: int) -> np.ndarray:
-    """Powers of a base at the beginning of each strip of n bytes."""
-    steps = np.full(n // STRIP + 1, pow(base, STRIP, 1 << 64), U)
-    steps[0] = 1
-    return np.cumprod(steps)
-
-
-def _powers_at(base: int, places: np.ndarray, n: int) -> np.ndarray:
-    return _strip_powers(base)[places & (STRIP - 1)] * _strip_bases(base, n)[places >> STRIP_BITS]
-
-
-def _running_sums(buffer: np.ndarray, base: int) -> np.ndarray:
-    """Sums of bytes times powers of the base, strip by strip, so what is needed besides the sums is small."""
-    n = len(buffer)
-    sums = np.zeros(n + 1, U)
-    for at, scale in zip(range(0, n, STRIP), _strip_bases(base, n)):
-        strip = buffer[at : at + STRIP].astype(U) + U(1)
-        strip *= _strip_powers(base)[: len(strip)]
-        strip *= scale
-        strip[:1] += sums[at : at + 1]
-        np.cumsum(strip, out=sums[at + 1 : at + 1 + len(strip)])
-    return sums
+def _powers(prime: int, base: int, n: int) -> np.ndarray:
+    """Powers of a base from 0 to n - 1, by doubling."""
+    powers = np.ones(1, U)
+    while len(powers) < n:
+        powers = np.concatenate([powers, powers * U(pow(base, len(powers), prime)) % U(prime)])
+    return powers[:n]
+
+
+class Polynomial:
+    """Polynomial hashes of spans of a buffer, modulo a prime.
+
+    Sums of bytes times powers run within strips, so they need no reduction; what
+    lies before a strip is added when a span is asked for.
+    """
+
+    def __init__(self, buffer: np.ndarray, prime: int, base: int):
+        n = len(buffer)
+        self.prime, self.base = U(prime), base
+        self.n_strips = n // STRIP + 1
+        self.scale = _powers(prime, pow(base, STRIP, prime), self.n_strips)
+        self.sums = np.zeros(n + 1, U)
+        self.before = np.zeros(self.n_strips, U)
+        powers = _powers(prime, base, STRIP)
+        for k in range(self.n_strips):
+            strip = buffer[k * STRIP : (k + 1) * STRIP].astype(U) + U(1)
+            strip *= powers[: len(strip)]
+            np.cumsum(strip, out=strip)
+            end = min(len(strip), STRIP - 1)
+            self.sums[k * STRIP + 1 : k * STRIP + 1 + end] = strip[:end]
+            if k + 1 < self.n_strips:
+                self.before[k + 1] = (self.before[k] + strip[-1] % self.prime * self.scale[k]) % self.prime
+
+    def upto(self, places: np.ndarray) -> np.ndarray:
+        strip = places >> STRIP_BITS
+        return (self.before[strip] + self.sums[places] % self.prime * self.scale[strip]) % self.prime
+
+    def of(self, start: np.ndarray, end: np.ndarray) -> np.ndarray:
+        inverse = pow(self.base, -1, int(self.prime))
+        within = _powers(int(self.prime), inverse, STRIP)[start & (STRIP - 1)]
+        scale = _powers(int(self.prime), pow(inverse, STRIP, int(self.prime)), self.n_strips)[start >> STRIP_BITS]
+        value = (self.upto(end) + self.prime - self.upto(start)) % self.prime
+        return value * within % self.prime * scale % self.prime
 
 
 class Words:
@@ -91,7 +108,6 @@ class Words:
 
     def __init__(self, texts: list[bytes]):
         self.n_texts = len(texts)
-        self._sums: dict[int, np.ndarray] = {}
         self.buffer = np.frombuffer(b"\n".join(texts) + b"\n", np.uint8)
         ends = np.cumsum(np.fromiter(map(len, texts), np.int64, len(texts)) + 1)
         self.text_start = np.r_[0, ends]
@@ -109,17 +125,14 @@ class Words:
     def counts(self) -> np.ndarray:
         return np.diff(self.first)
 
-    def hashes(self, base: int = BASE_A) -> np.ndarray:
+    def hashes(self, base: tuple = BASE_A) -> np.ndarray:
         """Hash of every word."""
         return self.span_hashes(self.start, self.end, base)
 
-    def span_hashes(self, start: np.ndarray, end: np.ndarray, base: int = BASE_A) -> np.ndarray:
-        """Polynomial hash of the bytes of each span, mixed with its length."""
-        sums = self._sums.get(base)
-        if sums is None:
-            sums = self._sums[base] = _running_sums(self.buffer, base)
-        value = (sums[end] - sums[start]) * _powers_at(pow(base, -1, 1 << 64), start, len(self.buffer))
-        return mix(value ^ ((end - start).astype(U) * U(ROLL_B)))
+    def span_hashes(self, start: np.ndarray, end: np.ndarray, base: tuple = BASE_A) -> np.ndarray:
+        """Hash of the bytes of each span, mixed with its length."""
+        one, two = (Polynomial(self.buffer, *each).of(start, end) for each in base)
+        return mix((one | two << U(31)) ^ ((end - start).astype(U) * U(ROLL_B)))
 
     def count(self, marked: np.ndarray) -> np.ndarray:
         """Running number of bytes whose value is marked in a table of 256."""

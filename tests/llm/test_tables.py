@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import hashlib
+import math
 import random
 from collections import Counter, defaultdict
 from itertools import product
@@ -162,6 +164,81 @@ def test_mixture(sources, target):
         assert abs(most - target.repetition) < 0.05
 
 
+def plain_exponent(shares: list[float], target: mixing.Target) -> int:
+    """The exponent by trying halves in plain arithmetic."""
+    h, n = entropy(shares), len(shares)
+
+    def meets(k: int) -> bool:
+        powers = [s ** (k / mixing.GRID) for s in shares]
+        if target.entropy is not None:
+            return entropy(powers) >= h + target.entropy * (math.log(n) - h) - 1e-12
+        most = max(shares)
+        return max((s / most) ** (k / mixing.GRID - 1) for s in shares) <= target.repetition * (1 + 1e-12)
+
+    low, high = 0, mixing.GRID
+    falls = target.entropy is not None
+    if meets(mixing.GRID if falls else 0):
+        return mixing.GRID if falls else 0
+    while high - low > 1:
+        middle = (low + high) // 2
+        if meets(middle) == falls:
+            low = middle
+        else:
+            high = middle
+    return low if falls else high
+
+
+@pytest.mark.parametrize("target", [mixing.Target(entropy=0.3), mixing.Target(entropy=0.9), mixing.Target(repetition=1.25), mixing.Target(repetition=3.0)])
+def test_exponent_and_order_by_plain_recomputation(spark, target):
+    rng = random.Random(12)
+    rows = [(k, " ".join(["w"] * rng.randint(0, 40)), f"s{min(rng.randrange(9), rng.randrange(9))}") for k in range(250)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    n_tokens = {d: len(t.split()) for d, t, _ in rows}
+    tokens, n_docs = Counter(), Counter()
+    for d, _, s in rows:
+        tokens[s] += n_tokens[d]
+        n_docs[s] += 1
+    total = sum(tokens.values())
+    sources = spark.createDataFrame([(f"={s}", n_docs[s], t) for s, t in tokens.items()], "key string, n_docs long, tokens long")
+    k = plain_exponent([t / total for t in tokens.values()], target)
+    assert abs(mixing.exponent(sources, target) - k) <= 1
+    k = mixing.exponent(sources, target)
+
+    powers = {s: (t / total) ** (k / mixing.GRID) for s, t in tokens.items()}
+    z, most = sum(powers.values()), max(tokens.values())
+    whole = total if target.entropy is not None else most * z / (most / total) ** (k / mixing.GRID)
+    digest = lambda *parts: hashlib.md5("|".join(map(str, parts)).encode()).hexdigest()
+    texts = {r["doc_id"]: r["h"] for r in docs.selectExpr("doc_id", "xxhash64(text) AS h").collect()}
+    wanted = Counter()
+    for s in tokens:
+        quota = math.floor(powers[s] / z * whole + 0.5)
+        n_blocks = -(-n_docs[s] // 16)
+        blocks = defaultdict(list)
+        for d, t, of in rows:
+            if of == s:
+                blocks[int(digest("mix", f"={s}", d, texts[d])[:8], 16) % n_blocks].append(d)
+        for own in blocks.values():
+            own.sort(key=lambda d: digest("mix", d, texts[d]))
+        at = epoch = 0
+        while at < quota:
+            for b in sorted(blocks, key=lambda b: digest("mix", f"={s}", epoch, b)):
+                for d in blocks[b]:
+                    if at < quota or (epoch + 1) * tokens[s] <= quota:
+                        wanted[d, epoch, at] += 1
+                    at += n_tokens[d]
+            epoch += 1
+    got = Counter((r["doc_id"], r["mix_epoch"], r["mix_start"]) for r in mixing.mix(docs, target, block_docs=16).collect())
+    assert got == wanted
+
+
+def test_a_source_of_one_word_is_repeated_without_large_arrays(spark):
+    rows = [(k, "w " * 100, "large") for k in range(300)] + [(1000, "one", "tiny"), (1001, "", "none"), (1002, None, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, source string").repartition(3)
+    mixed = mixing.mix(docs, mixing.Target(entropy=1.0)).where("source = 'tiny'")
+    found = mixed.selectExpr("count(*)", "count(distinct mix_epoch)", "max(mix_epoch)", "min(mix_start)", "max(mix_start)").first()
+    assert tuple(found) == (15001, 15001, 15000, 0, 15000)  # half of all 30001 tokens, rounded
+
+
 def test_mixture_stays_in_the_engine(sources):
     plan = mixing.mix(sources, mixing.Target(entropy=0.5))._jdf.queryExecution().executedPlan().toString()
     assert "Python" not in plan and "Arrow" not in plan and "CartesianProduct" not in plan
@@ -200,6 +277,34 @@ def test_url_rules_against_all_rules(spark):
     assert {r["verdict"] for r in url_rules.judge_urls(pages, table.where("host = ''"), "block").collect()} == {"block"}
 
 
+def test_url_rules_of_other_letters_and_equal_pages(spark):
+    urls = ["http://BÜCHER.example.de/x/y"] * 3000 + ["http://www.BÜCHER.Example.de/x", "http://bücher.example.de/x"]
+    pages = spark.createDataFrame([(1, u) for u in urls], "page_id long, url string").repartition(3)
+    rules = spark.createDataFrame([("BÜCHER.example.DE", "/x", "block"), ("de", "/", "allow")], "host string, path string, verdict string")
+    got = Counter((r["host"], r["rule"]) for r in url_rules.judge_urls(pages, rules).collect())
+    assert got == {("bÜcher.example.de", "bÜcher.example.de/x"): 3000, ("www.bÜcher.example.de", "bÜcher.example.de/x"): 1, ("bücher.example.de", "de/"): 1}
+    ties = url_rules.with_tie(pages)
+    bounds = url_rules.range_bounds(ties, 16)
+    assert len(bounds) > 8  # copies of one page are cut apart
+
+
+def test_paths_of_one_host_are_nested():
+    rng = random.Random(2)
+    paths = sorted({"".join(rng.choice("ab/") for _ in range(rng.randint(0, 9))) for _ in range(400)})
+    rules = url_rules.HostRules("h")
+    for path in paths:
+        rules.add(path, "allow")
+    for _ in range(3000):
+        asked = "".join(rng.choice("ab/") for _ in range(rng.randint(0, 12)))
+        fits = [p for p in paths if asked.startswith(p)]
+        at = rules.longest(asked)
+        assert (rules.paths[at] if at >= 0 else None) == (max(fits, key=len) if fits else None)
+    many = url_rules.HostRules("h")
+    for k in sorted(f"/{k:06d}/" for k in range(100_000)):
+        many.add(k, "block")
+    assert all(many.longest(f"/{k:06d}/page") == k for k in range(100_000))
+
+
 def closure(n: int, links: set[tuple[int, int]]) -> list[int]:
     root = list(range(n))
     for _ in range(n):
