@@ -7,10 +7,16 @@ looked at. Spans are in code points, the end exclusive.
 
 Base kinds: email, ip, card, phone. Added kinds: url (with a scheme; user and
 password in it are part of it), secret (the value after an identifier word
-such as ``password=``) and key (access keys with a fixed prefix). Spans of
-different kinds may overlap; those of one kind do not.
-
-A missing text is empty and has no spans. Repeated rows are each done on their own.
+such as ``password=``), key (access keys with a fixed prefix) and account (an
+international account number whose check digits hold, or a run of digits, after
+an account word). Schemes and words are found in either case. Spans of different
+kinds may overlap; those of one kind do not.
+
+A missing or empty text has no spans. A text of any length is read whole; every
+character is looked at a bounded number of times. Of cues that end together all
+are tried, the longest first. Repeated rows are each done on their own, and a
+missing id stays. Only doc_id and text (in masking, n_chars too) matter among
+the columns. An empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -27,9 +33,9 @@ from pyspark.sql import functions as F
 from odflux.llm.words import slices
 
 BASE_KINDS = ("email", "ip", "card", "phone")
-KINDS = (*BASE_KINDS, "url", "secret", "key")
+KINDS = (*BASE_KINDS, "url", "secret", "key", "account")
 # An address of a page is no personal data; an e-mail address or a secret in it is masked as such.
-MASKED_KINDS = (*BASE_KINDS, "secret", "key")
+MASKED_KINDS = (*BASE_KINDS, "secret", "key", "account")
 
 Span = tuple[int, int, int]  # start, number of the kind, end
 
@@ -43,10 +49,21 @@ URL = re.compile(r"[^\s<>\"'`{}|\\^]+")
 VALUE = re.compile(r"\s{0,3}[=:]\s{0,3}[\"']?([^\s\"'<>]{6,})")
 KEY = re.compile(r"[A-Z0-9]{16}(?![A-Za-z0-9])")
 
-SCHEMES = ("http://", "https://", "ftp://")
-# Words before a secret, as usually spelled; fixed key prefixes of a public key format.
-SECRET_WORDS = ("password", "passwd", "pwd", "token", "secret", "api_key", "apikey", "access_key", "Password", "Token", "Secret", "API_KEY")
-KEY_PREFIXES = ("AKIA", "ASIA")
+GAP = re.compile(r"[\s:#.=-]{0,4}")
+IBAN = re.compile(r"[A-Z]{2}[0-9]{2}(?:\x20?[A-Z0-9]){11,30}")
+ACCOUNT = re.compile(r"[0-9](?:[\x20-]?[0-9]){5,17}(?![0-9])")
+
+# Schemes, words before a secret and before an account, in lower case; fixed key prefixes of a public key format.
+SCHEMES = ("http://", "https://", "ftp://", "ftps://", "sftp://", "ssh://", "git://", "ldap://", "jdbc:", "mongodb://", "postgres://", "redis://", "amqp://")
+SECRET_WORDS = (
+    "password", "passwd", "passphrase", "pwd", "passwort", "contraseña", "token", "secret", "credential", "credentials",
+    "api_key", "apikey", "api-key", "access_key", "access-key", "accesskey", "private_key", "private-key", "auth_key", "signature",
+)
+ACCOUNT_WORDS = (
+    "iban", "account number", "account no", "account", "acct", "routing number", "sort code", "kontonummer", "konto",
+    "compte", "cuenta", "customer number", "customer no",
+)
+KEY_PREFIXES = ("akia", "asia")
 
 
 def luhn(digits: str) -> bool:
@@ -75,7 +92,7 @@ def ip(text: str, cue: int, _: int, used: int) -> Parsed:
         run = DIGITS.match(text, cue).end()
         return run, run, False
     parts = found[0].split(".")
-    return cue, found.end(), all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in parts)
+    return cue, found.end(), all(len(p.lstrip("0")) <= 3 and int(p.lstrip("0") or "0") <= 255 for p in parts)
 
 
 def card(text: str, cue: int, _: int, used: int) -> Parsed:
@@ -110,12 +127,28 @@ def secret(text: str, cue: int, end: int, used: int) -> Parsed:
 def key(text: str, cue: int, end: int, used: int) -> Parsed:
     if cue and text[cue - 1].isalnum():
         return None
-    found = KEY.match(text, end)
+    found = KEY.match(text, end) if text[cue:end].isupper() else None
     return (cue, found.end(), True) if found else None
 
 
+def account(text: str, cue: int, end: int, used: int) -> Parsed:
+    """The longest stretch after the word whose check digits hold, else a run of 6 to 18 digits."""
+    if cue and text[cue - 1].isalpha():
+        return None
+    at = GAP.match(text, end).end()
+    if found := IBAN.match(text, at):
+        stop = found.end()
+        while stop - at >= 15:
+            letters = text[at:stop].replace(" ", "")
+            if text[stop - 1] != " " and len(letters) <= 34 and int("".join(str(int(c, 36)) for c in letters[4:] + letters[:4])) % 97 == 1:
+                return at, stop, True
+            stop -= 1
+    found = ACCOUNT.match(text, at)
+    return (at, found.end(), True) if found else None
+
+
 Parser = Callable[[str, int, int, int], Parsed]
-PARSERS: tuple[Parser, ...] = (email, ip, card, phone, url, secret, key)
+PARSERS: tuple[Parser, ...] = (email, ip, card, phone, url, secret, key, account)
 
 
 @lru_cache(maxsize=1)
@@ -123,7 +156,7 @@ def cues() -> ahocorasick.Automaton:
     """All cues with their length and the kinds they are cues of."""
     kinds: dict[str, list[int]] = {"@": [0], "+": [3]}
     kinds |= {d: [1, 2] for d in "0123456789"}
-    kinds |= {s: [4] for s in SCHEMES} | {w: [5] for w in SECRET_WORDS} | {p: [6] for p in KEY_PREFIXES}
+    kinds |= {s: [4] for s in SCHEMES} | {w: [5] for w in SECRET_WORDS} | {p: [6] for p in KEY_PREFIXES} | {w: [7] for w in ACCOUNT_WORDS}
     automaton = ahocorasick.Automaton()
     for cue, found in kinds.items():
         automaton.add_word(cue, (len(cue), tuple(found)))
@@ -131,11 +164,17 @@ def cues() -> ahocorasick.Automaton:
     return automaton
 
 
+def lowered(text: str) -> str:
+    """The text in lower case, letter by letter where lower case takes more letters."""
+    lower = text.lower()
+    return lower if len(lower) == len(text) else "".join(c if len(c.lower()) > 1 else c.lower() for c in text)
+
+
 def find(text: str) -> list[Span]:
     """All spans by start, then kind."""
     used = [0] * len(PARSERS)
     spans = []
-    for last, (length, kinds) in cues().iter(text):
+    for last, (length, kinds) in cues().iter(lowered(text)):
         cue = last + 1 - length
         for kind in kinds:
             if cue < used[kind]:
