@@ -4,15 +4,21 @@ A host is turned around, ``www.example.com`` to ``com.example.www.``, so a rule'
 host and all its subdomains are one interval of the sorted keys, and the
 intervals of any two rules are nested or apart. Pages and rules are dealt to
 ranges of keys, a rule to every range its interval meets, and sorted; one sweep
-over a range keeps the rules whose interval is open on a stack. Of the open
-rules whose path begins the page's path, the longest wins.
-
-Ranges are cut at (key, hash of the row), so the pages of one host spread over
-as many ranges as their number asks for.
-
-A missing url, or one without ``://``, has an empty host and path. Rules without
-a host, path or verdict are left out; of equal rules ``block`` holds. Repeated
-pages are each judged.
+over a range keeps the hosts whose interval is open on a stack. The rules of a
+host come sorted by path, and a second stack links each path to the path it is
+nested in, so the rules that a page's path begins with are one chain. Of all
+open rules that fit, the longest wins, and of equally long ones that of the
+longer host.
+
+Ranges are cut at (key, hash of the row and its place in the input), so the pages
+of one host, and copies of one page, spread over as many ranges as their number
+asks for. Only a sample of fixed size comes to the driver, to cut them.
+
+A missing url, or one without ``://``, has an empty host and path; urls of any
+length are read whole. Hosts are lower-cased from A to Z only, in rules too.
+Rules without a host, path or verdict are left out; of equal rules ``block``
+holds. Repeated pages are each judged. Other columns do not matter. No pages
+give no rows, and without rules all pages get the verdict ``otherwise``.
 """
 
 from __future__ import annotations
@@ -20,6 +26,7 @@ from __future__ import annotations
 import re
 from bisect import bisect_right
 from collections.abc import Iterator
+from string import ascii_lowercase, ascii_uppercase
 
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -46,20 +53,51 @@ def key_of(host: str) -> bytes:
     return ".".join(reversed(host.split("."))).encode() + b"." if host else b""
 
 
-def range_bounds(pages: DataFrame, ranges: int) -> list[Bound]:
-    """Keys that cut the pages into ``ranges`` parts of like size, from a sample of fixed size."""
-    every = max(1, pages.count() // (ranges * SAMPLES_PER_RANGE))
-    row = F.xxhash64("page_id", "url")
-    sample = pages.where(F.pmod(F.xxhash64(row), F.lit(every)) == 0).select("url", row.alias("tie")).collect()
-    points = sorted((key_of(host_and_path(r["url"])[0]), r["tie"]) for r in sample)
-    return sorted({points[len(points) * k // ranges] for k in range(1, ranges)}) if points else []
+def with_tie(pages: DataFrame) -> DataFrame:
+    """Pages with a hash that parts equal rows too, by their place in the input."""
+    return pages.withColumn("tie", F.xxhash64("page_id", "url", F.monotonically_increasing_id()))
+
+
+def range_bounds(points: DataFrame, ranges: int) -> list[Bound]:
+    """Keys that cut the pages into ``ranges`` parts of like size, from a sample of fixed size; ``points`` has url and tie."""
+    every = max(1, points.count() // (ranges * SAMPLES_PER_RANGE))
+    sample = points.where(F.pmod(F.xxhash64("tie"), F.lit(every)) == 0).select("url", "tie").collect()
+    places = sorted((key_of(host_and_path(r["url"])[0]), r["tie"]) for r in sample)
+    return sorted({places[len(places) * k // ranges] for k in range(1, ranges)}) if places else []
+
+
+class HostRules:
+    """Rules of a host by path. A path is nested in the longest other path that it starts with."""
+
+    def __init__(self, host: str) -> None:
+        self.host = host
+        self.paths: list[str] = []
+        self.verdicts: list[str] = []
+        self.within: list[int] = []
+        self._open: list[int] = []
+
+    def add(self, path: str, verdict: str) -> None:
+        """Paths come in order."""
+        while self._open and not path.startswith(self.paths[self._open[-1]]):
+            self._open.pop()
+        self.within.append(self._open[-1] if self._open else -1)
+        self._open.append(len(self.paths))
+        self.paths.append(path)
+        self.verdicts.append(verdict)
+
+    def longest(self, path: str) -> int:
+        """Number of the longest path that ``path`` starts with, or -1: all such paths hold the last one before it."""
+        at = bisect_right(self.paths, path) - 1
+        while at >= 0 and not path.startswith(self.paths[at]):
+            at = self.within[at]
+        return at
 
 
 class OpenRules:
-    """The rules whose interval holds the key of the sweep, the widest first."""
+    """The hosts whose interval holds the key of the sweep, the widest first."""
 
     def __init__(self) -> None:
-        self.stack: list[tuple[bytes, list[tuple[str, str, str]]]] = []
+        self.stack: list[tuple[bytes, HostRules]] = []
 
     def move(self, key: bytes) -> None:
         while self.stack and not key.startswith(self.stack[-1][0]):
@@ -67,12 +105,13 @@ class OpenRules:
 
     def add(self, key: bytes, host: str, path: str, verdict: str) -> None:
         if not self.stack or self.stack[-1][0] != key:
-            self.stack.append((key, []))
-        self.stack[-1][1].append((host, path, verdict))
+            self.stack.append((key, HostRules(host)))
+        self.stack[-1][1].add(path, verdict)
 
     def longest(self, path: str) -> tuple[str, str, str] | None:
-        fits = (rule for _, rules in self.stack for rule in rules if path.startswith(rule[1]))
-        return max(fits, key=lambda rule: (len(rule[0]) + len(rule[1]), len(rule[0])), default=None)
+        fits = ((rules, rules.longest(path)) for _, rules in self.stack)
+        named = ((rules.host, rules.paths[at], rules.verdicts[at]) for rules, at in fits if at >= 0)
+        return max(named, key=lambda rule: (len(rule[0]) + len(rule[1]), len(rule[0])), default=None)
 
 
 SORTED = "range int, key binary, page boolean, tie long, page_id long, host string, path string, verdict string"
@@ -83,7 +122,8 @@ def judge_urls(pages: DataFrame, rules: DataFrame, otherwise: str = "allow") ->
     """page_id, host, path, the rule that holds (host and path; missing if none does) and the verdict."""
     pages = pages.select(F.col("page_id").cast("long"), "url")
     partitions = shuffles(pages)
-    bounds = range_bounds(pages, partitions * RANGES_PER_PARTITION)
+    points = with_tie(pages)
+    bounds = range_bounds(points, partitions * RANGES_PER_PARTITION)
 
     def place_pages(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -137,10 +177,10 @@ def judge_urls(pages: DataFrame, rules: DataFrame, otherwise: str = "allow") ->
             yield pa.record_batch(columns, names=["page_id", "host", "path", "rule", "verdict"])
 
     known = rules.where("host is not null and path is not null and verdict is not null")
-    known = known.groupBy(F.lower("host").alias("host"), "path").agg(
+    # Only A-Z are lower-cased, as in pages.
+    known = known.groupBy(F.translate("host", ascii_uppercase, ascii_lowercase).alias("host"), "path").agg(
         F.when(F.max(F.col("verdict") == "block"), "block").otherwise(F.min("verdict")).alias("verdict")
     )
-    points = pages.withColumn("tie", F.xxhash64("page_id", "url"))
     both = points.mapInArrow(place_pages, SORTED).union(known.mapInArrow(place_rules, SORTED))
-    ordered = both.repartition(partitions, "range").sortWithinPartitions("range", "key", "page", "tie")
+    ordered = both.repartition(partitions, "range").sortWithinPartitions("range", "key", "page", "path", "tie")
     return ordered.mapInArrow(sweep, "page_id long, host string, path string, rule string, verdict string")
