@@ -9,9 +9,15 @@ block is cut where the budget ends.
 
 All of it is DataFrame expressions. Sums over a source are kept in three steps
 (ranges of hashes, blocks in a range, documents in a block), so no task holds a
-source. A document without words weighs nothing: it is used once in every epoch
-that reaches it. Missing sources are one source of their own. Repeated rows
-are documents of their own.
+source. A source that is repeated very often has its epochs dealt to lanes, so
+neither an array nor a task holds all of them; the mixture has a row for every
+document and epoch. A document without words weighs nothing: it is used once in every epoch
+that reaches it, and so is a source of such documents alone. Missing sources are
+one source of their own. Repeated rows are documents of their own; documents of
+equal hash in a block go by id, then by tokens and text, so a tie between equal
+rows does not show. Missing and empty texts have no words. An empty table gives an
+empty mixture. Other columns stay; those named mix_tokens, mix_epoch or mix_start
+are an error.
 """
 
 from __future__ import annotations
@@ -26,6 +32,8 @@ from odflux.llm.place import stored
 GRID = 1 << 20
 HALVINGS = 5
 BLOCK_DOCS = 512
+# Turns of a block that travel in one row, and lanes that a block of more turns is dealt to.
+LANE_EPOCHS, LANES = 256, 64
 # Up to so many sources their table goes to every task; beyond, it is joined by shuffle.
 FEW_SOURCES = 2_000
 SEED = "mix"
@@ -61,9 +69,9 @@ def hashed(*columns: Column) -> Column:
     return F.md5(F.concat_ws("|", *(F.coalesce(c.cast("string"), F.lit("")) for c in columns)).cast("binary"))
 
 
-def block_of(doc_id: Column) -> Column:
-    """Block of a document in its source of ``n_blocks``."""
-    digits = F.substring(hashed(F.lit(SEED), F.col("key"), doc_id), 1, 8)
+def block_of(doc_id: Column, text_hash: Column) -> Column:
+    """Block of a document in its source of ``n_blocks``; documents without an id part by their text."""
+    digits = F.substring(hashed(F.lit(SEED), F.col("key"), doc_id, text_hash), 1, 8)
     return F.pmod(F.conv(digits, 16, 10).cast("long"), F.col("n_blocks"))
 
 
@@ -148,39 +156,51 @@ def mix(docs: DataFrame, target: Target, block_docs: int = BLOCK_DOCS) -> DataFr
     taken = {"mix_tokens", "mix_epoch", "mix_start"} & set(docs.columns)
     if taken:
         raise ValueError(f"columns in use: {sorted(taken)}")
-    small = docs.select(source_key("source").alias("key"), n_words("text").alias("tokens"), "doc_id")
+    small = docs.select(source_key("source").alias("key"), n_words("text").alias("tokens"), "doc_id", F.xxhash64("text").alias("text_hash"))
     sources = stored(source_tokens(small), "sources")
     plan = budgets(sources, exponent(sources, target), target)
-    plan = stored(plan.withColumn("n_blocks", F.ceil(F.col("n_docs") / block_docs).cast("long")), "budgets")
+    epochs = F.when(F.col("tokens") == 0, 1).otherwise(F.ceil(F.col("quota") / F.greatest("tokens", F.lit(1)))).cast("long")
+    plan = plan.withColumns({"n_blocks": F.ceil(F.col("n_docs") / block_docs).cast("long"), "epochs": epochs})
+    plan = stored(plan.withColumn("lanes", F.least(F.ceil(F.col("epochs") / LANE_EPOCHS), F.lit(LANES)).cast("long")), "budgets")
 
-    sizes = plan.select("key", "n_blocks")
+    sizes = plan.where("epochs > 0").select("key", "n_blocks", "lanes")
     sizes = F.broadcast(sizes) if sizes.count() <= FEW_SOURCES else sizes
-    placed = small.join(sizes, "key").withColumn("block", block_of(F.col("doc_id")))
+    placed = small.join(sizes, "key").withColumn("block", block_of(F.col("doc_id"), F.col("text_hash")))
     blocks = placed.groupBy("key", "block").agg(F.sum("tokens").alias("block_tokens"))
-    epochs = F.greatest(F.ceil(F.col("quota") / F.greatest("tokens", F.lit(1))).cast("int"), F.when(F.col("tokens") == 0, 1).otherwise(0))
-    turns = blocks.join(plan, "key").withColumn("mix_epoch", F.explode(F.sequence(F.lit(0), epochs - 1)))
+    turns = blocks.join(plan, "key")
+    turns = turns.withColumn("stretch", F.explode(F.sequence(F.lit(0).cast("long"), F.floor((F.col("epochs") - 1) / LANE_EPOCHS))))
+    last = F.least((F.col("stretch") + 1) * LANE_EPOCHS, "epochs") - 1
+    turns = turns.withColumn("mix_epoch", F.explode(F.sequence(F.col("stretch") * LANE_EPOCHS, last)))
     turns = turns.withColumn("order", hashed(F.lit(SEED), F.col("key"), F.col("mix_epoch"), F.col("block")))
     turns = stored(turns.withColumn("range", F.substring("order", 1, 2)), "turns")
-    ranges = turns.groupBy("key", "mix_epoch", "range").agg(F.sum("block_tokens").alias("range_tokens"))
-    of_source = Window.partitionBy("key").orderBy("mix_epoch", "range").rowsBetween(Window.unboundedPreceding, -1)
-    ranges = ranges.select("key", "mix_epoch", "range", F.coalesce(F.sum("range_tokens").over(of_source), F.lit(0)).alias("range_start"))
+    ranges = turns.groupBy("key", "mix_epoch", "range", "tokens").agg(F.sum("block_tokens").alias("range_tokens"))
+    # Every epoch uses the whole source, so it begins where as many whole sources end.
+    of_epoch = Window.partitionBy("key", "mix_epoch").orderBy("range").rowsBetween(Window.unboundedPreceding, -1)
+    start = F.col("mix_epoch") * F.col("tokens") + F.coalesce(F.sum("range_tokens").over(of_epoch), F.lit(0))
+    ranges = ranges.select("key", "mix_epoch", "range", start.alias("range_start"))
     of_range = Window.partitionBy("key", "mix_epoch", "range").orderBy("order").rowsBetween(Window.unboundedPreceding, -1)
     starts = turns.join(ranges, ["key", "mix_epoch", "range"]).withColumn(
         "block_start", F.col("range_start") + F.coalesce(F.sum("block_tokens").over(of_range), F.lit(0))
     )
-    chosen = starts.where((F.col("block_start") < F.col("quota")) | (F.col("tokens") == 0))
-    chosen = stored(chosen.groupBy("key", "block", "quota", F.col("tokens").alias("all_tokens")).agg(
-        F.sort_array(F.collect_list(F.struct("mix_epoch", "block_start"))).alias("turns")  # at most one an epoch
+    # Of a whole epoch, documents without words at its end are used too.
+    chosen = starts.where((F.col("block_start") < F.col("quota")) | ((F.col("mix_epoch") + 1) * F.col("tokens") <= F.col("quota")))
+    chosen = chosen.withColumn("lane", F.col("stretch") % F.col("lanes"))
+    chosen = stored(chosen.groupBy("key", "block", "lane", "stretch", "quota", F.col("tokens").alias("all_tokens")).agg(
+        F.sort_array(F.collect_list(F.struct("mix_epoch", "block_start"))).alias("turns")  # at most one an epoch of the stretch
     ), "chosen")
 
-    rows = docs.select(F.struct(*docs.columns).alias("doc"), source_key("source").alias("key"), n_words("text").alias("mix_tokens"))
-    rows = rows.join(sizes, "key").withColumn("block", block_of(F.col("doc.doc_id")))
-    in_block = Window.partitionBy("key", "block").orderBy(hashed(F.lit(SEED), F.col("doc.doc_id")), "doc.doc_id", "mix_tokens")
-    rows = rows.join(chosen, ["key", "block"]).withColumn(
-        "before", F.sum("mix_tokens").over(in_block.rowsBetween(Window.unboundedPreceding, 0)) - F.col("mix_tokens")
-    )
+    rows = docs.select(
+        F.struct(*docs.columns).alias("doc"), source_key("source").alias("key"), n_words("text").alias("mix_tokens"),
+        F.xxhash64("text").alias("text_hash"),
+    )
+    rows = rows.join(sizes, "key").withColumn("block", block_of(F.col("doc.doc_id"), F.col("text_hash")))
+    order = [hashed(F.lit(SEED), F.col("doc.doc_id"), F.col("text_hash")), F.col("doc.doc_id"), F.col("mix_tokens"), F.col("doc.text")]
+    in_block = Window.partitionBy("key", "block").orderBy(*order)
+    rows = rows.withColumn("before", F.sum("mix_tokens").over(in_block.rowsBetween(Window.unboundedPreceding, 0)) - F.col("mix_tokens"))
+    rows = rows.withColumn("lane", F.explode(F.sequence(F.lit(0).cast("long"), F.col("lanes") - 1)))
+    rows = rows.join(chosen.drop("stretch"), ["key", "block", "lane"])
     rows = rows.withColumn("turn", F.explode("turns")).withColumn("mix_start", F.col("turn.block_start") + F.col("before"))
-    rows = rows.where((F.col("mix_start") < F.col("quota")) | (F.col("all_tokens") == 0))
+    rows = rows.where((F.col("mix_start") < F.col("quota")) | ((F.col("turn.mix_epoch") + 1) * F.col("all_tokens") <= F.col("quota")))
     return rows.select("doc.*", "mix_tokens", F.col("turn.mix_epoch").alias("mix_epoch"), "mix_start")
 
 
