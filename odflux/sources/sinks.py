@@ -7,6 +7,8 @@ from dataclasses import dataclass
 from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
+from odflux.sources.readers import RFC_QUOTES
+
 
 @dataclass(frozen=True)
 class WriteSummary:
@@ -15,7 +17,7 @@ class WriteSummary:
 
 
 def write_csv(df: DataFrame, path: str) -> None:
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").options(header=True, **RFC_QUOTES).csv(path)
 
 
 def write_parquet(df: DataFrame, path: str) -> None:
