@@ -96,6 +96,8 @@ def children_branches(
     origin of flows into London boroughs; the sums are then laid out under
     each branch.
     """
+    if len({region.name, inner_outer.name, LONDON}) < 3:
+        raise ValueError(f"geographies need names of their own, other than {LONDON!r}")
     stacked = stack_lookups([region, inner_outer])
     alike = alike_areas(stacked)
     found = alike.attach(_children(flows, max_age), "gss_in", {"alike": "alike_in"}, "left")

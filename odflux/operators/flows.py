@@ -159,12 +159,13 @@ def final_gross_flows(flows: DataFrame, geographies: list[Geography], decimals:
 def flows_outer_swapped(flows: DataFrame) -> DataFrame:
     """Full outer join of the flows with themselves turned round, missing measures 0.
 
-    Meant for flows with one row per key; on others ``net_flows`` adds up
-    where this pairs.
+    Repeated keys are summed first, so a pair meets its reverse once; the join
+    uses the partitioning of the sums.
     """
     keys = ["gss_in", "gss_out", "age", "year"]
-    inflow = flows.select(*keys, F.col("value").alias("inflow"))
-    outflow = swap_endpoints(flows.select(*keys, "value"))
+    once = flows.groupBy(*keys).agg(F.sum("value").alias("value"))
+    inflow = once.select(*keys, F.col("value").alias("inflow"))
+    outflow = swap_endpoints(once)
     return inflow.join(outflow, keys, "full_outer").fillna(0, ["inflow", "outflow"])
 
 

@@ -10,14 +10,13 @@ from __future__ import annotations
 import warnings
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from odflux.functions.codes import LOCAL_AUTHORITY_PATTERN, is_local_authority
 from odflux.functions.nulls import all_present, sum_or_zero, with_keys
-from odflux.operators.audit import columns_with_area_names
-from odflux.operators.filters import code_pattern_split
+from odflux.operators.audit import AreaNameWatch, columns_with_area_names
 from odflux.operators.lookups import Lookup
 from odflux.sources.workdir import keep
 
@@ -139,6 +138,15 @@ def aggregate_measures(df: DataFrame, measures: Sequence[str], fun: str = "sum")
     return summed.select(*df.columns)
 
 
+def _watched(df: DataFrame, register: DataFrame | AreaNameWatch) -> DataFrame:
+    """``df``, watched or warned of; a plain register is compared with it by one aggregate at once."""
+    if isinstance(register, AreaNameWatch):
+        return register.on(df)
+    for row in columns_with_area_names(df, register).collect():  # at most a row for each column
+        warnings.warn(f"column {row['column_name']!r} holds area names; consider leaving it out", stacklevel=3)
+    return df
+
+
 def recode_gss(
     df_in: DataFrame,
     col_code: str = "gss_code",
@@ -148,21 +156,22 @@ def recode_gss(
     recode_to_year: int | None = None,
     aggregate_data: bool = True,
     lad_code_changes: DataFrame | Lookup | None = None,
-    all_lad_codes_dates: DataFrame | None = None,
+    all_lad_codes_dates: DataFrame | AreaNameWatch | None = None,
     database_year: int = LAST_VINTAGE,
 ) -> DataFrame:
     """Recode one column of a table between two vintages.
 
     ``lad_code_changes`` is the table of changes, or a lookup made from it by
     ``as_recode_lookup`` to be used more than once. When a register of codes
-    is given, one pass over the text columns warns of area names in them.
+    is given, one aggregate over the text columns warns of area names in them. An
+    ``AreaNameWatch`` in its place adds no job: it counts while the first action on
+    the result runs, and tells or warns when asked.
     """
     check_recode(df_in, col_code, col_data, recode_from_year, recode_to_year, fun, database_year)
     if lad_code_changes is None:
         raise ValueError("a table of code changes is needed")
     if all_lad_codes_dates is not None:
-        for row in columns_with_area_names(df_in, all_lad_codes_dates).collect():
-            warnings.warn(f"column {row['column_name']!r} holds area names; consider leaving it out", stacklevel=2)
+        df_in = _watched(df_in, all_lad_codes_dates)
     lookup = lad_code_changes
     if not isinstance(lookup, Lookup):
         lookup = as_recode_lookup(lookup, recode_from_year, recode_to_year)
@@ -173,12 +182,28 @@ def recode_gss(
     return aggregate_measures(recoded, measures, fun)
 
 
+def sum_or_pass(df: DataFrame, measure: str, passes: Column) -> DataFrame:
+    """Sum over all other columns; rows that pass stay as they are, each as a group of its own.
+
+    So both go through one scan and one shuffle.
+    """
+    keys = [c for c in df.columns if c != measure]
+    marked = df.withColumn("__row", F.when(passes, F.monotonically_increasing_id()))
+    marked = marked.where(F.col("__row").isNotNull() | all_present(keys))
+    summed = marked.groupBy(*keys, "__row").agg(sum_or_zero(measure).alias("__sum"), F.max(measure).alias("__only"))
+    value = F.when(F.col("__row").isNull(), F.col("__sum")).otherwise(F.col("__only")).alias(measure)
+    return summed.select(*[value if c == measure else F.col(c) for c in df.columns])
+
+
 def recode_end(
     flows: DataFrame, column: str, lookup: Lookup, measure: str = "value", pattern: str = LOCAL_AUTHORITY_PATTERN
 ) -> DataFrame:
     """Recode and sum the flows whose ``column`` holds the pattern; the others pass unchanged."""
-    hit, rest = code_pattern_split(flows, column, pattern)
-    return aggregate_measures(relabel(hit, column, lookup), [measure]).unionByName(rest)
+    hit = is_local_authority(F.col(column), pattern)
+    found = lookup.attach(flows.withColumn("__hit", hit), column, {TO: "__new_code"}, "left")
+    new = F.coalesce(F.when(F.col("__hit"), F.col("__new_code")), column).alias(column)
+    recoded = found.select(*[new if c == column else F.col(c) for c in flows.columns], "__hit")
+    return sum_or_pass(recoded, measure, ~F.col("__hit")).drop("__hit")
 
 
 def _known_codes(lookup: Lookup) -> Lookup:
@@ -188,12 +213,12 @@ def _known_codes(lookup: Lookup) -> Lookup:
     return Lookup(known.withColumn("known", F.lit(True)), FROM, lookup.max_bytes)
 
 
-def _new_ends(marked: DataFrame, columns: Sequence[str]) -> DataFrame:
+def _new_ends(marked: DataFrame, columns: Sequence[str], *more: Column) -> DataFrame:
     ends = {
         "gss_in": F.coalesce(F.when(F.col("__in"), F.col("__new_in")), "gss_in").alias("gss_in"),
         "gss_out": F.coalesce(F.when(F.col("__out"), F.col("__new_out")), "gss_out").alias("gss_out"),
     }
-    return marked.select(*[ends.get(c, F.col(c)) for c in columns], "__out")
+    return marked.select(*[ends.get(c, F.col(c)) for c in columns], "__out", *more)
 
 
 def recode_both_ends(
@@ -208,21 +233,22 @@ def recode_both_ends(
     Sums of sums are sums, so a flow that either step would aggregate goes
     through a single aggregation over its final codes. Flows only the first
     step sums must not merge with flows the second one sums, hence the flag in
-    the key; flows neither step touches pass unchanged.
+    the key; flows neither step touches pass unchanged. All of them come from
+    one scan and share one shuffle.
 
     Where the caller knows that no key repeats (``unique_keys``), a flow can
     only merge when one of its codes is an old or a new code of the lookup,
-    so just those flows are shuffled.
+    so just those flows are shuffled, for a second scan of the others.
     """
     columns = flows.columns
     hit_in, hit_out = (is_local_authority(F.col(c), pattern) for c in ("gss_in", "gss_out"))
     marked = flows.withColumns({"__in": hit_in, "__out": hit_out})
     touched = F.col("__in") | F.col("__out")
     if not unique_keys:
-        found = lookup.attach(marked.where(touched), "gss_in", {TO: "__new_in"}, "left")
+        found = lookup.attach(marked, "gss_in", {TO: "__new_in"}, "left")
         found = lookup.attach(found, "gss_out", {TO: "__new_out"}, "left")
-        summed = aggregate_measures(_new_ends(found, columns), [measure])
-        return summed.select(*columns).unionByName(marked.where(~touched).select(*columns))
+        ends = _new_ends(found, columns, touched.alias("__touched"))
+        return sum_or_pass(ends, measure, ~F.col("__touched")).select(*columns)
     known = _known_codes(lookup)
     found = known.attach(marked, "gss_in", {TO: "__new_in", "known": "__known_in"}, "left")
     found = known.attach(found, "gss_out", {TO: "__new_out", "known": "__known_out"}, "left")

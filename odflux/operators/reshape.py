@@ -81,14 +81,18 @@ def pivot_age_wide(
     """One column per age holding the mean value, 0 where there is none.
 
     Conditional means keep it to one shuffle of partial aggregates. Give
-    ``ages`` to save the job that looks them up.
+    ``ages`` to save the job that looks them up; rows of another age are then an
+    error, found by the same aggregate.
     """
     if ages is None:
         ages = [r["age"] for r in df.where("age IS NOT NULL").select("age").distinct().orderBy("age").collect()]
     cells = [
         F.coalesce(F.avg(F.when(F.col("age") == age, F.col("value"))), F.lit(0.0)).alias(str(age)) for age in ages
     ]
-    return with_keys(df, [*index, "age"]).groupBy(*index).agg(*cells)
+    other = F.max(F.when(~F.col("age").isin(*ages), F.col("age"))) if ages else F.max("age")
+    wide = with_keys(df, [*index, "age"]).groupBy(*index).agg(*cells, other.alias("__other"))
+    unlisted = F.raise_error(F.concat(F.lit("age outside the list: "), F.col("__other").cast("string"))).cast("boolean")
+    return wide.where(F.when(F.col("__other").isNotNull(), unlisted).otherwise(True)).drop("__other")
 
 
 def swap_endpoints(flows: DataFrame, measure: str = "outflow") -> DataFrame:

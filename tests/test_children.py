@@ -6,7 +6,7 @@ import pytest
 from pyspark.sql import DataFrame
 
 from odflux.operators import children as ops
-from odflux.operators.flows import net_flows
+from odflux.operators.flows import Geography, net_flows
 
 
 def separate(df, region, london):
@@ -77,3 +77,8 @@ def test_wide_table(random_flows, areas, rows):
     named = net.withColumnsRenamed({"gss_in": "gss_code", "gss_out": "origin_destination_code"})
     long = named.unpivot(["gss_code", "origin_destination_code", "age", "year"], ["inflow", "outflow", "netflow"], "direction", "value")
     assert rows(back.where("value != 0"), *ids, "age", "value") == rows(long.where("value != 0"), *ids, "age", "value")
+
+
+def test_a_geography_cannot_be_named_like_the_london_branch(random_flows, areas):
+    with pytest.raises(ValueError, match="london"):
+        ops.all_od_flows(random_flows(0), Geography("london", areas[1].lookup, "region_code"), areas[2])

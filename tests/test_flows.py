@@ -128,3 +128,10 @@ def test_repeated_keys_multiply_in_every_geography(spark, rows):
         for g in parts:
             separate = ops.aggregate_areas(df, g.lookup, g.target)
             assert rows(od.where(F.col("geography") == g.name).drop("geography")) == rows(separate)
+
+
+def test_repeated_keys_meet_their_reverse_once(spark, rows):
+    data = [("a", "b", 1, 2012, 1.0), ("a", "b", 1, 2012, 2.0), ("b", "a", 1, 2012, 5.0), ("b", "a", 1, 2012, 1.0), ("a", "c", 1, 2012, None)]
+    flows = spark.createDataFrame(data, "gss_in string, gss_out string, age int, year int, value double")
+    found = rows(ops.flows_outer_swapped(flows), "gss_in", "gss_out", "inflow", "outflow")
+    assert found == [("a", "b", 3.0, 6.0), ("a", "c", 0.0, 0.0), ("b", "a", 6.0, 3.0), ("c", "a", 0.0, 0.0)]

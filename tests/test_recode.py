@@ -252,3 +252,80 @@ def test_combined_series(spark, changes, rows):
         ("a", "b", "female", 2012, 1, 5.0),
         (None, "S12000005", "male", 2011, 1, 4.0),
     ]
+
+
+def test_a_watch_counts_area_names_without_a_job(spark, changes):
+    df = spark.createDataFrame(
+        [("E06000001", "Camden", "x", 1.0), ("E06000001", None, "Barnet", 1.0), ("E07000002", "Barnet", "y", 2.0)],
+        "code string, name string, other string, value double",
+    )
+    names = audit.AreaNames(spark.createDataFrame([("Camden",), ("Barnet",), (None,)], "gss_name string"))
+    assert names.listed and names.few
+    lookup = recode.as_recode_lookup(changes, 2021, 2023)
+    assert lookup.fits
+    watch = audit.AreaNameWatch(names)
+    spark.sparkContext.setJobGroup("watched", "watched")
+    recoded = recode.recode_gss(df, "code", "value", "sum", 2021, 2023, True, lookup, watch)
+    assert not spark.sparkContext.statusTracker().getJobIdsForGroup("watched")
+    recoded.collect()
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert watch.columns == {"name": 2, "other": 1}
+    with pytest.warns(UserWarning, match="column 'name' holds area names"):
+        watch.warn()
+
+
+def test_many_area_names_are_joined(spark, rows):
+    df = spark.createDataFrame([("Camden", "x"), ("Barnet", "Camden"), (None, "Camden")], "name string, other string")
+    register = spark.createDataFrame([("Camden",), ("Barnet",)], "gss_name string")
+    few, many = audit.AreaNames(register), audit.AreaNames(register, max_bytes=0)
+    expected = [("name", 2), ("other", 2)]
+    assert rows(audit.columns_with_area_names(df, few)) == rows(audit.columns_with_area_names(df, many)) == expected
+    with pytest.raises(ValueError, match="too many"):
+        audit.AreaNameWatch(many).on(df)
+
+
+@pytest.mark.parametrize("seed", range(3))
+def test_sides_from_the_codes_equal_sides_from_the_rows(random_flows, changes, rows, seed):
+    flows, lookup = random_flows(seed), recode.as_recode_lookup(changes, 2021, 2023)
+    after = recode.aggregate_measures(recode.relabel(flows, "gss_in", lookup), ["value"])
+    sides = audit.recode_sides(flows, "gss_in", lookup, recode.TO)
+    assert rows(sides) == rows(audit.code_sides(flows, after, "gss_in"))
+    assert rows(audit.only_changed(sides)) == rows(audit.changed_codes(flows, after, "gss_in"))
+    assert rows(audit.added_and_removed(sides)) == rows(audit.added_removed_codes(flows, after, "gss_in"))
+
+
+def exchanges(df) -> list[str]:
+    text = df._jdf.queryExecution().executedPlan().toString()
+    return [line for line in text.splitlines() if "Exchange hashpartitioning" in line]
+
+
+def test_audits_shuffle_codes_only(spark, random_flows, changes, tmp_path):
+    random_flows(1).write.parquet(f"{tmp_path}/flows")
+    flows = spark.read.parquet(f"{tmp_path}/flows")
+    lookup = recode.as_recode_lookup(changes, 2021, 2023)
+    for df in (audit.only_changed(audit.recode_sides(flows, "gss_in", lookup, recode.TO)),):
+        for line in exchanges(df):
+            assert line.count("#") == 1 and ("code" in line or "gss_in" in line), line
+
+
+def scans(df) -> int:
+    df.collect()
+    return df._jdf.queryExecution().executedPlan().toString().split("== Initial Plan ==")[0].count("FileScan parquet")
+
+
+def test_recodes_scan_their_input_once(spark, random_flows, changes, tmp_path):
+    random_flows(2).write.parquet(f"{tmp_path}/historical")
+    flows = spark.read.parquet(f"{tmp_path}/historical")
+    lookup = recode.as_recode_lookup(changes, 2021, 2023)
+    assert scans(recode.recode_end(flows, "gss_in", lookup)) == 1
+    assert scans(recode.recode_end(recode.recode_end(flows, "gss_in", lookup), "gss_out", lookup)) == 1
+    assert scans(recode.recode_both_ends(flows, lookup)) == 1
+    wide = spark.createDataFrame([("a", "b", "F", 2013, 1.0, 0.0)], "outla string, inla string, sex string, year int, age_0 double, age_1 double")
+    assert scans(combine_series(flows, wide, lookup, 2012)) == 1
+
+
+def test_passing_rows_stay_as_they_are(spark, rows):
+    data = [("E07000002", "x", 1.0), ("E07000002", "x", 2.0), ("S1", "x", 1.0), ("S1", "x", 1.0), ("S1", None, None), (None, "y", 3.0), ("E07000007", None, 5.0), ("E07000007", "z", None)]
+    df = spark.createDataFrame(data, "gss_in string, k string, value double")
+    found = recode.sum_or_pass(df, "value", ~F.coalesce(F.col("gss_in").startswith("E0"), F.lit(False)))
+    assert rows(found) == rows(spark.createDataFrame([("E07000002", "x", 3.0), *data[2:6], ("E07000007", "z", 0.0)], df.schema))

@@ -106,3 +106,13 @@ def test_union_fills_and_widens(spark, rows):
     both = union_by_name([left, right])
     assert dict(both.dtypes) == {"c": "string", "v": "double", "extra": "string"}
     assert rows(both) == [("a", 1.0, None), ("b", 2.5, "x")]
+
+
+def test_ages_outside_the_list_are_an_error(spark, rows):
+    df = spark.createDataFrame([("a", "b", "inflow", 2012, 0, 1.0), ("a", "b", "inflow", 2012, 7, 2.0)], "gss_code string, origin_destination_code string, direction string, year int, age int, value double")
+    assert rows(reshape.pivot_age_wide(df, [0, 7])) == [("a", "b", "inflow", 2012, 1.0, 2.0)]
+    with pytest.raises(Exception, match="age outside the list: 7"):
+        reshape.pivot_age_wide(df, [0, 1]).collect()
+    with pytest.raises(Exception, match="age outside the list"):
+        reshape.pivot_age_wide(df, [0, 1]).select("year").collect()
+    assert rows(reshape.pivot_age_wide(df.where("age = 0"), [0])) == [("a", "b", "inflow", 2012, 1.0)]

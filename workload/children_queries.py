@@ -31,13 +31,12 @@ def union(*names: str) -> str:
 
 
 TABLES["all_od"] = union("pairs", "within_london", "london", "total_in", "total_out")
+# Every flow in both orientations, summed.
 TABLES["net"] = """
-    SELECT coalesce(i.gss_in, o.gss_out) AS gss_in, coalesce(i.gss_out, o.gss_in) AS gss_out,
-           coalesce(i.age, o.age) AS age, coalesce(i.year, o.year) AS year,
-           coalesce(i.value, 0) AS inflow, coalesce(o.value, 0) AS outflow,
-           coalesce(i.value, 0) - coalesce(o.value, 0) AS netflow
-    FROM all_od i FULL OUTER JOIN all_od o
-      ON i.gss_in = o.gss_out AND i.gss_out = o.gss_in AND i.age = o.age AND i.year = o.year"""
+    SELECT gss_in, gss_out, age, year, sum(i) AS inflow, sum(o) AS outflow, sum(i) - sum(o) AS netflow
+    FROM (SELECT gss_in, gss_out, age, year, value AS i, 0 AS o FROM all_od
+          UNION ALL SELECT gss_out, gss_in, age, year, 0, value FROM all_od)
+    GROUP BY gss_in, gss_out, age, year"""
 
 
 def region_pairs(spark: SparkSession, d: str) -> DataFrame:

@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -28,9 +30,45 @@ def occurring(pairs: DataFrame, spark: SparkSession, d: str) -> DataFrame:
     return filters.code_present(pairs, "changed_from_code", flows_long(spark, d), "gss_in")
 
 
-@query("recode_validate", with_tables("SELECT * FROM flows"))
+# Arguments that differ from good ones, and the error they give.
+REJECTED = (
+    ("good", {}, "none"),
+    ("recode_from_year=2007", {"recode_from_year": 2007}, "ValueError"),
+    ("recode_to_year=2025", {"recode_to_year": 2025}, "ValueError"),
+    ("recode_to_year=2025, database_year=2025", {"recode_to_year": 2025, "database_year": 2025}, "none"),
+    ("recode_from_year='2021'", {"recode_from_year": "2021"}, "TypeError"),
+    ("recode_from_year=None", {"recode_from_year": None}, "TypeError"),
+    ("col_code=1", {"col_code": 1}, "TypeError"),
+    ("col_code='area'", {"col_code": "area"}, "ValueError"),
+    ("col_data=['value', 1]", {"col_data": ["value", 1]}, "TypeError"),
+    ("col_data='sum'", {"col_data": "sum"}, "ValueError"),
+    ("col_data='sex'", {"col_data": "sex"}, "ValueError"),
+    ("col_data=['value', 'age']", {"col_data": ["value", "age"]}, "none"),
+    ("fun='median'", {"fun": "median"}, "ValueError"),
+    ("fun='mean'", {"fun": "mean"}, "none"),
+    ("df=None", {"df": None}, "TypeError"),
+)
+REJECTED_ROWS = ", ".join("('" + text.replace("'", "''") + f"', '{error}')" for text, _, error in REJECTED)
+
+
+@query(
+    "recode_validate",
+    with_tables(
+        f"""SELECT arguments, error, CASE WHEN error = 'none' THEN n ELSE 0 END AS n_rows
+            FROM (VALUES {REJECTED_ROWS}) v(arguments, error), (SELECT count(*) AS n FROM flows)"""
+    ),
+)
 def recode_validate(spark: SparkSession, d: str) -> DataFrame:
-    return recode.check_recode(flows_long(spark, d), "gss_in", ["value"], OLD_VINTAGE, NEW_VINTAGE)
+    """Sets of arguments with the error they are rejected with, or the rows of the table that passes."""
+    good = {"df": flows_long(spark, d), "col_code": "gss_in", "col_data": ["value"], "recode_from_year": OLD_VINTAGE, "recode_to_year": NEW_VINTAGE}
+    outcomes = []
+    for text, changed, _ in REJECTED:
+        try:
+            accepted, error = recode.check_recode(**(good | changed)), "none"
+        except (TypeError, ValueError) as rejected:
+            accepted, error = good["df"].limit(0), type(rejected).__name__
+        outcomes.append(accepted.agg(F.lit(text).alias("arguments"), F.lit(error).alias("error"), F.count(F.lit(1)).alias("n_rows")))
+    return reduce(DataFrame.unionByName, outcomes)
 
 
 @query(
@@ -209,9 +247,8 @@ BEFORE = "SELECT DISTINCT gss_in AS code FROM flows"
 AFTER = f"SELECT DISTINCT gss_in AS code FROM ({recoded('SELECT * FROM flows', 'gss_in')})"
 
 
-def before_and_after(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]:
-    flows = flows_long(spark, d)
-    return flows, recode.aggregate_measures(recode.relabel(flows, "gss_in", forward(spark)), ["value"])
+def sides(spark: SparkSession, d: str) -> DataFrame:
+    return audit.recode_sides(flows_long(spark, d), "gss_in", forward(spark), recode.TO)
 
 
 @query(
@@ -224,7 +261,7 @@ def before_and_after(spark: SparkSession, d: str) -> tuple[DataFrame, DataFrame]
     ),
 )
 def added_removed_codes(spark: SparkSession, d: str) -> DataFrame:
-    return audit.added_removed_codes(*before_and_after(spark, d), "gss_in")
+    return audit.added_and_removed(sides(spark, d))
 
 
 @query(
@@ -237,13 +274,12 @@ def added_removed_codes(spark: SparkSession, d: str) -> DataFrame:
     ),
 )
 def changed_codes(spark: SparkSession, d: str) -> DataFrame:
-    return audit.changed_codes(*before_and_after(spark, d), "gss_in")
+    return audit.only_changed(sides(spark, d))
 
 
 @query("code_difference", with_tables(f"{AFTER} EXCEPT {BEFORE}"))
 def code_difference(spark: SparkSession, d: str) -> DataFrame:
-    before, after = before_and_after(spark, d)
-    return audit.code_difference(after, before, "gss_in")
+    return sides(spark, d).where("side = 'right_only'").select("code")
 
 
 @query(
