@@ -13,9 +13,11 @@ from collections.abc import Mapping, Sequence
 from dataclasses import dataclass
 from functools import cached_property, reduce
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
+from odflux.sources.workdir import keep
+
 BROADCAST_BYTES = 64 * 1024 * 1024
 ROW_OVERHEAD_BYTES = 64
 
@@ -37,6 +39,14 @@ class Lookup:
         if missing:
             raise ValueError(f"lookup has no column {missing}")
 
+    @classmethod
+    def kept(cls, frame: DataFrame, keys: str | Sequence[str], max_bytes: int = BROADCAST_BYTES) -> Lookup:
+        """A lookup evaluated once into the shared folder, and measured by that same job."""
+        lookup, seen = cls(frame, keys, max_bytes), Observation()
+        lookup.frame = keep(frame.observe(seen, F.count(F.lit(1)).alias("n"), F.sum(lookup._row_bytes()).alias("b")))
+        lookup.size = LookupSize(rows=seen.get["n"], bytes=seen.get["b"] or 0)
+        return lookup
+
     def _row_bytes(self) -> Column:
         widths = (F.coalesce(F.octet_length(F.col(c).cast("string")), F.lit(0)) for c in self.frame.columns)
         return sum(widths, F.lit(ROW_OVERHEAD_BYTES))

@@ -18,7 +18,6 @@ from odflux.functions.codes import LOCAL_AUTHORITY_PATTERN, is_local_authority
 from odflux.functions.nulls import all_present, sum_or_zero, with_keys
 from odflux.operators.audit import AreaNameWatch, columns_with_area_names
 from odflux.operators.lookups import Lookup
-from odflux.sources.workdir import keep
 
 # Earliest vintage, latest vintage, and separator of split targets.
 FIRST_VINTAGE = 2008
@@ -122,7 +121,7 @@ def recode_lookup(changes: DataFrame, recode_from_year: int, recode_to_year: int
 
 def as_recode_lookup(changes: DataFrame, recode_from_year: int, recode_to_year: int) -> Lookup:
     """``recode_lookup`` evaluated once, for both ends of any number of tables."""
-    return Lookup(keep(recode_lookup(changes, recode_from_year, recode_to_year)), FROM)
+    return Lookup.kept(recode_lookup(changes, recode_from_year, recode_to_year), FROM)
 
 
 def relabel(df: DataFrame, column: str, lookup: Lookup) -> DataFrame:

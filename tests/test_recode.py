@@ -329,3 +329,13 @@ def test_passing_rows_stay_as_they_are(spark, rows):
     df = spark.createDataFrame(data, "gss_in string, k string, value double")
     found = recode.sum_or_pass(df, "value", ~F.coalesce(F.col("gss_in").startswith("E0"), F.lit(False)))
     assert rows(found) == rows(spark.createDataFrame([("E07000002", "x", 3.0), *data[2:6], ("E07000007", "z", 0.0)], df.schema))
+
+
+def test_a_lookup_is_measured_by_the_job_that_keeps_it(spark, changes):
+    spark.sparkContext.setJobGroup("kept", "kept")
+    lookup = recode.as_recode_lookup(changes, 2021, 2023)
+    size, jobs = lookup.size, len(spark.sparkContext.statusTracker().getJobIdsForGroup("kept"))
+    assert lookup.fits and len(spark.sparkContext.statusTracker().getJobIdsForGroup("kept")) == jobs
+    spark.sparkContext.setJobGroup("rest", "rest")
+    assert size == Lookup(lookup.frame, recode.FROM).size and size.rows > 0
+    assert Lookup.kept(lookup.frame.limit(0), recode.FROM).size == Lookup(lookup.frame.limit(0), recode.FROM).size
