@@ -46,6 +46,8 @@ RUNS = 10
 STARTS_PER_RUN = 2
 BRANCH = 1 / 0.7
 BUCKET = 96
+# Rows of a table of large buckets that goes to every task; a row has at most some 200 bytes.
+BROADCAST_ROWS = 100_000
 DEPTH = 5
 TILE = 256
 # A large bucket is not split if this part of it looks like its member of least key.
@@ -164,10 +166,23 @@ def next_paths(rows: DataFrame) -> DataFrame:
     return rows.select("path", "key", "size", "low", "high").mapInArrow(run, "path long, key long, size long, low binary, high binary")
 
 
+def _if_small(df: DataFrame, rows: int = BROADCAST_ROWS) -> DataFrame:
+    """A written table that is sent to every task when it has few rows, and joined by a shuffle otherwise."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
 def _with_counts(rows: DataFrame) -> DataFrame:
-    """Members of buckets of two or more, with the size of their bucket."""
+    """Members of buckets of two or more, with the size of their bucket. ``rows`` are written.
+
+    Members of large buckets stay in their tasks: only the paths are counted, and
+    those above ``BUCKET`` go to the members. All other buckets are small.
+    """
     counts = rows.groupBy("path").agg(F.count(F.lit(1)).alias("members")).where("members > 1")
-    return rows.join(counts, "path")
+    counts = stored(counts, "bucket-sizes")
+    hot = _if_small(counts.where(F.col("members") > BUCKET))
+    cold = counts.where(F.col("members") <= BUCKET)
+    rest = rows.join(hot.select("path"), "path", "left_anti")
+    return rows.join(hot, "path").unionByName(rest.join(cold, "path"))
 
 
 def _alike(low_a: np.ndarray, low_b: np.ndarray, size_a: np.ndarray, size_b: np.ndarray, threshold: float) -> np.ndarray:
@@ -190,7 +205,8 @@ def alike_buckets(large: DataFrame, threshold: float) -> DataFrame:
             yield pa.record_batch([batch.column("path"), pa.array(alike.astype(np.int64))], names=["path", "alike"])
 
     first = large.groupBy("path").agg(F.min_by(F.struct(F.col("low").alias("pivot"), F.col("size").alias("pivot_size")), "key").alias("p"))
-    rows = large.select("path", "size", "low").join(first.select("path", "p.*"), "path")
+    first = stored(first.select("path", "p.*"), "pivots")
+    rows = large.select("path", "size", "low").join(_if_small(first), "path")
     judged = rows.mapInArrow(run, "path long, alike long").groupBy("path").agg(F.avg("alike").alias("part"))
     return judged.where(F.col("part") >= ALIKE_PART).select("path")
 
@@ -235,18 +251,19 @@ def small_bucket_pairs(rows: DataFrame, threshold: float) -> DataFrame:
 
 
 def shingle_sets(docs: DataFrame, wanted: DataFrame) -> DataFrame:
-    """key, size, copies and the sorted shingle hashes of the classes in ``wanted`` (key, first_id, copies)."""
+    """key, size, copies and the sorted shingle hashes of the classes in ``wanted`` (key, name, check, first_id, copies)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             n = batch.num_rows
             of, found = shingles(as_bytes(batch.column("text")))
-            key, _, size = _set_sums(n, of, found)
+            name, check, size = _set_sums(n, of, found)
             sets = pa.ListArray.from_arrays(pa.array(np.r_[0, np.cumsum(size)], pa.int32()), pa.array(found.view(np.int64)))
-            mine = key == batch.column("key").to_numpy()  # an id may come with several texts
+            # An id may come with several texts.
+            mine = (name == batch.column("name").to_numpy()) & (check == batch.column("check").to_numpy())
             yield pa.record_batch([batch.column("key"), batch.column("copies"), pa.array(size), sets], names=["key", "copies", "size", "tokens"]).filter(pa.array(mine))
 
-    texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), "text").join(wanted, "first_id").select("key", "copies", "text")
+    texts = docs.select(F.col("doc_id").cast("long").alias("first_id"), "text").join(wanted, "first_id").select("key", "name", "check", "copies", "text")
     found = texts.mapInArrow(run, "key long, copies long, size long, tokens array<long>")
     return stored(found.dropDuplicates(["key"]), "sets")
 
@@ -308,6 +325,16 @@ def group_links(members: DataFrame, sets: DataFrame, threshold: float) -> DataFr
     return ordered.mapInArrow(compare, "key long, links long, root long")
 
 
+def apart(classes: DataFrame) -> DataFrame:
+    """Classes with a key of their own; ``name`` is the one their texts give. Different sets of one name get a new key."""
+    alike = stored(classes.groupBy("key").agg(F.count(F.lit(1)).alias("n")).where("n > 1").select(F.col("key").alias("name"), F.lit(True).alias("shared")), "alike-keys")
+    named = classes.withColumnRenamed("key", "name")
+    if _is_empty(alike):
+        return named.withColumn("key", F.col("name"))
+    named = named.join(alike, "name", "left")
+    return named.withColumn("key", F.when(F.col("shared"), F.xxhash64("name", "check", "size")).otherwise(F.col("name"))).drop("shared")
+
+
 def _is_empty(df: DataFrame) -> bool:
     return not df.limit(1).count()
 
@@ -319,11 +346,11 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     classes = marked.where(usable).groupBy("key", "check", "size").agg(
         F.min("doc_id").alias("first_id"), F.count(F.lit(1)).alias("copies"), F.first("low").alias("low"), F.first("high").alias("high")
     )
-    classes = stored(classes, "classes")
+    classes = apart(stored(classes, "classes"))
 
     # Split large buckets level by level.
     tokens = classes.select("key", "size", "low", "high")
-    level = _with_counts(start_paths(classes)).join(tokens, "key")
+    level = _with_counts(stored(start_paths(classes), "starts")).join(tokens, "key")
     small, whole = [], []
     for depth in range(DEPTH):
         higher = F.when(F.col("members") > BUCKET, F.col("high")).alias("high")
@@ -336,6 +363,7 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
             whole.append(large.select("path", "key"))
             break
         alike = stored(alike_buckets(large, threshold), f"alike-{depth}")
+        alike = _if_small(alike)
         whole.append(large.join(alike, "path", "left_semi").select("path", "key"))
         # Written, as counting the buckets and joining the counts would split twice.
         level = _with_counts(stored(next_paths(large.join(alike, "path", "left_anti")), f"split-{depth}"))
@@ -344,7 +372,8 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     kept = whole[0] if whole else small[0].where("false").select("path", "key")
     for more in whole[1:]:
         kept = kept.union(more)
-    to_least = kept.join(kept.groupBy("path").agg(F.min("key").alias("least")), "path")
+    least = stored(kept.groupBy("path").agg(F.min("key").alias("least")), "least")
+    to_least = kept.join(_if_small(least), "path")
     star = components(to_least.select(F.col("key").alias("a"), F.col("least").alias("b")).distinct())
     members = stored(star.select(F.col("node").alias("key"), F.col("component").alias("group")).union(
         star.select(F.col("component").alias("key"), F.col("component").alias("group")).distinct()
@@ -356,7 +385,7 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     rows = rows.join(members, "key", "left").withColumn("group", F.coalesce("group", F.lit(0)))
     pairs = stored(small_bucket_pairs(rows, threshold), "pairs")
     wanted = pairs.select(F.col("a").alias("key")).union(pairs.select("b")).union(members.select("key")).distinct()
-    sets = shingle_sets(docs, wanted.join(classes.select("key", "first_id", "copies"), "key"))
+    sets = shingle_sets(docs, wanted.join(classes.select("key", "name", "check", "first_id", "copies"), "key"))
     sure = stored(verified(pairs, sets, threshold), "verified")
     tiled = stored(group_links(members, sets, threshold), "tiled")
 
@@ -364,12 +393,12 @@ def near_texts(docs: DataFrame, threshold: float = THRESHOLD) -> DataFrame:
     other_way = sure.select(F.col("b").alias("key"), F.col("copies_a").alias("links"))
     links = one_way.union(other_way).union(tiled.select("key", "links")).groupBy("key").agg(F.sum("links").alias("links"))
     joined = components(sure.select("a", "b").union(tiled.select("key", "root"))).withColumnRenamed("node", "key")
-    judged = classes.select("key", "check", "first_id", "copies").join(links, "key", "left").join(joined, "key", "left")
+    judged = classes.select("key", "name", "check", "size", "first_id", "copies").join(links, "key", "left").join(joined, "key", "left")
     judged = judged.withColumn("component", F.coalesce("component", "key"))
     judged = stored(judged.withColumn("links", F.col("copies") - 1 + F.coalesce("links", F.lit(0))), "judged")
     first = judged.groupBy("component").agg(F.min("first_id").alias("class_id"))
-    judged = judged.join(first, "component").select("key", "check", F.col("first_id").alias("copy_class"), "class_id", F.col("links").alias("n_links"))
-    found = marked.where(usable).select("doc_id", "key", "check").join(judged, ["key", "check"])
+    judged = judged.join(first, "component").select(F.col("name").alias("key"), "check", "size", F.col("first_id").alias("copy_class"), "class_id", F.col("links").alias("n_links"))
+    found = marked.where(usable).select("doc_id", "key", "check", "size").join(judged, ["key", "check", "size"])
     found = found.select("doc_id", "copy_class", "class_id", "n_links")
     alone = marked.where(~usable).select("doc_id", F.col("doc_id").alias("copy_class"), F.col("doc_id").alias("class_id"), F.lit(0).cast("long").alias("n_links"))
     return found.union(alone).withColumn("kept", F.col("doc_id").eqNullSafe(F.col("class_id")))

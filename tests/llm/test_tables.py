@@ -377,6 +377,44 @@ def test_near_texts_with_large_groups(spark, monkeypatch, bucket):
     assert got == near_by_sets(rows)
 
 
+def test_sets_of_one_name_stay_apart(spark):
+    rows = [(1, 5, 3, 10), (1, 6, 3, 11), (2, 5, 3, 12), (1, 5, 4, 13)]
+    classes = spark.createDataFrame(rows, "key long, check long, size long, first_id long")
+    found = jaccard_join.apart(classes).collect()
+    assert len({r["key"] for r in found}) == 4
+    assert {(r["name"], r["check"], r["size"], r["first_id"]) for r in found} == set(rows)
+    assert [r["key"] for r in found if r["first_id"] == 12] == [2]
+
+
+@pytest.mark.parametrize("rows", [0, 100_000])
+def test_recall_when_every_bucket_is_split(spark, monkeypatch, rows):
+    """Texts that share a template, so buckets are large and go through all levels; pairs just above the threshold."""
+    monkeypatch.setattr(jaccard_join, "BUCKET", 8)
+    monkeypatch.setattr(jaccard_join, "BROADCAST_ROWS", rows)
+    rng = random.Random(3)
+    template = [f"t{k}" for k in range(500)]
+    texts = []
+    for k in range(160):
+        own = list(template)
+        at = rng.randrange(500)
+        for j in range(190):  # a stretch of its own, so that two texts share less than half of their shingles
+            own[(at + j) % 500] = f"d{k}_{j}"
+        texts.append(own)
+        near = list(own)
+        for j in rng.sample(range(500), 11):
+            near[j] = f"n{k}_{j}"
+        texts.append(near)
+    sets = [{tuple(t[j : j + 5]) for j in range(len(t) - 4)} for t in texts]
+    linked = {(i, j) for i in range(len(sets)) for j in range(i) if len(sets[i] & sets[j]) >= 0.8 * len(sets[i] | sets[j])}
+    assert len(linked) > 60
+    docs = spark.createDataFrame([(k, " ".join(t)) for k, t in enumerate(texts)], "doc_id long, text string").repartition(4)
+    found = {r["doc_id"]: r for r in jaccard_join.near_texts(docs).collect()}
+    assert sum(r["n_links"] for r in found.values()) >= 0.99 * 2 * len(linked)
+    met = sum(found[i]["class_id"] == found[j]["class_id"] for i, j in linked)
+    print(f"found {met} of {len(linked)} pairs")
+    assert met >= 0.99 * len(linked)
+
+
 def test_start_coordinates_reach_the_recall():
     """Chance that a pair at the threshold shares no token at any start."""
     assert (1 - jaccard_join.THRESHOLD) ** len(jaccard_join.STARTS) < 1e-6
