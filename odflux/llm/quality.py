@@ -2,12 +2,17 @@
 
 Every line that holds a word is labelled content or boilerplate by Viterbi
 decoding; a text is kept when the content lines hold enough of its characters.
-The field is trained here on a bounded sample of texts labelled good or bad,
-whose lines all take the label of their text. Without such labels
-``DEFAULT_FIELD`` is used.
-
-Missing texts count as empty and have no words. Repeated rows are judged each
-on its own. Columns other than the ones read are left alone.
+The field is trained here on a bounded sample of texts labelled good or bad. The
+lines of a bad text are boilerplate; those of a good one are content but for lines
+that stand in many places: between ``MIN_PLACES`` different lines before and after
+them, counted over all texts, so copies of a text count once. So the field sees
+texts that mix both. Its bias is then raised until it keeps ``KEEP_GOOD`` of the
+good texts of the sample. Without good and bad labels ``DEFAULT_FIELD`` is used.
+
+Missing and empty texts have no words, and fail. Texts of any length are judged
+whole. Repeated rows are judged each on its own. Of equally likely labels (ties) a
+line takes content. Columns other than the ones read are left alone. An empty
+table gives an empty one.
 """
 
 from __future__ import annotations
@@ -44,8 +49,12 @@ FEATURES = (
 MIN_WORDS = 50
 MAX_REPEAT_PERCENT = 50
 MIN_CONTENT = 0.5
-# Texts the field is fitted on, and the most lines one of them may have.
+# Texts the field is fitted on, and the most lines of one of them: of more, a stretch at a place by hash.
 SAMPLE_TEXTS, SAMPLE_LINES = 3000, 60
+# Different lines before and after a line, and its words, from which on it is no content.
+MIN_PLACES, MIN_LINE_WORDS = 5, 5
+# Part of the good texts of the sample, of those long enough, that the fitted field has to keep.
+KEEP_GOOD = 0.999
 
 BASE_SCHEMA = (
     "doc_id long, n_words long, word_chars long, n_symbols long, n_dup_lines long, n_repeat_words long, "
@@ -74,6 +83,8 @@ class Lines:
     text: np.ndarray
     chars: np.ndarray
     seen: np.ndarray
+    hashes: np.ndarray
+    n_words: np.ndarray
     features: np.ndarray
 
 
@@ -84,7 +95,8 @@ def lines_of(words: Words, hashes: np.ndarray) -> Lines:
     number = line[first]
     begin, end = np.r_[0, breaks[:-1] + 1][number], breaks[number]
     text = words.text_of[first]
-    seen = seen_before(text, words.span_hashes(begin, end))
+    line_hashes = words.span_hashes(begin, end)
+    seen = seen_before(text, line_hashes)
     n_words = np.diff(np.r_[first, len(line)])
 
     def inside(marked: np.ndarray) -> np.ndarray:
@@ -114,7 +126,7 @@ def lines_of(words: Words, hashes: np.ndarray) -> Lines:
         seen,
         np.minimum(np.log1p(n_words) / np.log(100), 2),
     )
-    return Lines(text, chars, seen, np.stack([np.asarray(c, float) for c in columns], 1).reshape(len(first), len(FEATURES)))
+    return Lines(text, chars, seen, line_hashes, n_words, np.stack([np.asarray(c, float) for c in columns], 1).reshape(len(first), len(FEATURES)))
 
 
 def _by_length(first: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -151,11 +163,15 @@ def viterbi(emit: np.ndarray, first: np.ndarray, step: np.ndarray) -> np.ndarray
     return labels
 
 
-def fit_field(features: np.ndarray, first: np.ndarray, good: np.ndarray, rounds: int = 150) -> Field:
-    """Maximise the likelihood of all lines carrying their text's label, good texts and bad ones weighing alike."""
+def fit_field(features: np.ndarray, first: np.ndarray, good: np.ndarray, content: np.ndarray | None = None, rounds: int = 150) -> Field:
+    """Maximise the likelihood of the lines' labels, good texts and bad ones weighing alike.
+
+    ``content`` has a label for each line; without it, lines take that of their text.
+    """
     n_good = int(good.sum())
     if n_good in (0, len(good)):
         return DEFAULT_FIELD
+    label = np.repeat(good, np.diff(first)).astype(np.int64) if content is None else content.astype(np.int64)
     order, alive = _by_length(first)
     start, good = first[:-1][order], good[order].astype(np.int64)
     weight = np.where(good == 1, 0.5 / n_good, 0.5 / (len(good) - n_good))
@@ -182,11 +198,10 @@ def fit_field(features: np.ndarray, first: np.ndarray, good: np.ndarray, rounds:
                 ahead_score[:, 1] += score[ahead]
                 joint = forward[here][:, :, None] + step[None] + ahead_score[:, None, :]
                 turns -= (weight[onward, None, None] * np.exp(joint - total[onward, None, None])).sum(0)
-                turns[0, 0] += weight[onward][good[onward] == 0].sum()
-                turns[1, 1] += weight[onward][good[onward] == 1].sum()
+                np.add.at(turns, (label[here], label[ahead]), weight[onward])
                 backward[here] = np.logaddexp(step[:, 0] + ahead_score[:, :1], step[:, 1] + ahead_score[:, 1:])
-            content = np.exp(forward[at, 1] + backward[at, 1] - total[:n])
-            miss[at] = weight[:n] * (good[:n] - content)
+            likely = np.exp(forward[at, 1] + backward[at, 1] - total[:n])
+            miss[at] = weight[:n] * (label[at] - likely)
         slopes = [features.T @ miss - 1e-4 * emit, turns - 1e-4 * step]
         for k, (value, slope) in enumerate(zip((emit, step), slopes)):
             mean, square = moments[2 * k], moments[2 * k + 1]
@@ -196,8 +211,37 @@ def fit_field(features: np.ndarray, first: np.ndarray, good: np.ndarray, rounds:
     return Field(emit, step)
 
 
+def _stretch(n: int, lines: int, name: int) -> slice:
+    """All of n lines, or ``lines`` of them from a place that the name decides."""
+    start = name % (n - lines + 1) if n > lines else 0
+    return slice(start, start + min(n, lines))
+
+
+def lines_in_many_places(docs: DataFrame, wanted: np.ndarray, places: int = MIN_PLACES) -> np.ndarray:
+    """Those of the ``wanted`` line hashes (sorted) that stand between so many different lines, over all texts."""
+
+    def meet(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in slices(batches):
+            words = Words(as_bytes(batch.column("text")))
+            found = lines_of(words, words.hashes())
+            inner = found.text[1:] == found.text[:-1]
+            before, after = np.zeros(len(found.text), np.uint64), np.zeros(len(found.text), np.uint64)
+            before[1:][inner], after[:-1][inner] = found.hashes[:-1][inner], found.hashes[1:][inner]
+            asked = np.searchsorted(wanted, found.hashes)
+            mine = wanted[np.minimum(asked, len(wanted) - 1)] == found.hashes
+            rows = np.unique(np.stack([found.hashes[mine], before[mine], after[mine]], 1), axis=0).view(np.int64)
+            yield pa.record_batch([pa.array(c.copy()) for c in rows.T], names=["line", "before", "after"])
+
+    if not len(wanted):
+        return wanted
+    met = docs.select("text").mapInArrow(meet, "line long, before long, after long")
+    counts = met.groupBy("line").agg(F.count_distinct("before").alias("before"), F.count_distinct("after").alias("after"))
+    rows = counts.where(F.least("before", "after") >= places).select("line").collect()  # at most the wanted ones
+    return np.sort(np.array([r["line"] for r in rows], np.int64).view(np.uint64))
+
+
 def train_field(docs: DataFrame, labels: DataFrame, texts: int = SAMPLE_TEXTS, lines: int = SAMPLE_LINES) -> Field:
-    """Fit on the ``texts`` labelled texts of smallest hash; those of more than ``lines`` lines are left out.
+    """Fit on the ``texts`` labelled texts of smallest hash, on a stretch of ``lines`` lines of longer ones.
 
     ``labels`` has doc_id and quality (1 good, 0 bad); rows without either do
     not count, and of several labels of a text the lowest holds.
@@ -205,27 +249,50 @@ def train_field(docs: DataFrame, labels: DataFrame, texts: int = SAMPLE_TEXTS, l
     known = labels.where("doc_id is not null and quality is not null").groupBy("doc_id").agg(F.min("quality").alias("quality"))
     chosen = known.orderBy(F.xxhash64("doc_id"), "doc_id").limit(texts)
     sample = docs.select("doc_id", "text").join(F.broadcast(chosen), "doc_id").select("text", F.col("quality").cast("int").alias("good"))
-    schema = "good int, n int, features binary"
+    schema = "good int, n int, n_words long, features binary, hashes binary, chars binary"
 
     def measure(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in slices(batches):
             words = Words(as_bytes(batch.column("text")))
             found = lines_of(words, words.hashes())
             first = np.searchsorted(found.text, np.arange(batch.num_rows + 1))
-            n = np.diff(first)
-            fit = np.flatnonzero((n > 0) & (n <= lines))
-            blobs = [found.features[first[i] : first[i + 1]].tobytes() for i in fit]
-            yield pa.record_batch(
-                [batch.column("good").take(pa.array(fit)), pa.array(n[fit], pa.int32()), pa.array(blobs, pa.binary())],
-                names=["good", "n", "features"],
-            )
+            # Short lines come again by chance.
+            named = np.where(found.n_words >= MIN_LINE_WORDS, found.hashes, np.uint64(0))
+            rows = []
+            for good, begin, end in zip(batch.column("good").to_pylist(), first[:-1].tolist(), first[1:].tolist()):
+                if begin < end:
+                    some = _stretch(end - begin, lines, int(found.hashes[begin]))
+                    own, n_words = found.features[begin:end][some], int(found.n_words[begin:end].sum())
+                    rows.append((good, len(own), n_words, own.tobytes(), named[begin:end][some].tobytes(), found.chars[begin:end][some].tobytes()))
+            columns = list(zip(*rows)) or [()] * 6
+            types = [pa.int32(), pa.int32(), pa.int64(), pa.binary(), pa.binary(), pa.binary()]
+            yield pa.record_batch([pa.array(c, t) for c, t in zip(columns, types)], names=["good", "n", "n_words", "features", "hashes", "chars"])
 
     rows = sample.mapInArrow(measure, schema).collect()
-    rows = sorted(rows, key=lambda r: (r["good"], r["n"], bytes(r["features"])))
-    if not rows:
+    rows = sorted(rows, key=lambda r: (r["good"], r["n"], bytes(r["features"]), bytes(r["hashes"])))
+    if len({r["good"] > 0 for r in rows}) < 2:
         return DEFAULT_FIELD
     features = np.concatenate([np.frombuffer(r["features"]) for r in rows]).reshape(-1, len(FEATURES))
-    return fit_field(features, np.r_[0, np.cumsum([r["n"] for r in rows])], np.array([r["good"] > 0 for r in rows]))
+    hashes = np.concatenate([np.frombuffer(r["hashes"], np.uint64) for r in rows])
+    n, good = np.array([r["n"] for r in rows]), np.array([r["good"] > 0 for r in rows])
+    content = np.repeat(good, n)
+    common = lines_in_many_places(docs, np.unique(hashes[content & (hashes != 0)]))
+    content &= ~np.isin(hashes, common)
+    first, chars = np.r_[0, np.cumsum(n)], np.concatenate([np.frombuffer(r["chars"], np.int64) for r in rows])
+    judged = good & (np.array([r["n_words"] for r in rows]) >= MIN_WORDS)
+    return raised(fit_field(features, first, good, content), features, first, chars, judged)
+
+
+def raised(field: Field, features: np.ndarray, first: np.ndarray, chars: np.ndarray, good: np.ndarray, step: float = 0.25, most: float = 20.0) -> Field:
+    """The field with the least added bias at which it keeps enough of the good texts; one that keeps enough stays."""
+    all_chars = np.maximum(np.add.reduceat(chars, first[:-1]), 1)
+    for shift in np.arange(0, most, step):
+        emit = field.emit + shift * (np.arange(len(field.emit)) == 0)
+        labels = viterbi(features @ emit, first, field.step)
+        share = np.add.reduceat(chars * labels, first[:-1]) / all_chars
+        if not good.any() or (share[good] >= MIN_CONTENT).mean() >= KEEP_GOOD:
+            break
+    return Field(emit, field.step)
 
 
 @dataclass

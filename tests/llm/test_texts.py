@@ -263,3 +263,35 @@ def test_label_model_weighs_correlated_voters_once():
     apart.table = toxicity._tables(rows, weight, apart.parent)
     right, right_apart = (((m.posterior(votes) > 0.5) == y).mean() for m in (model, apart))
     assert right > 0.9 and right >= right_apart
+
+
+def test_lines_in_many_places_are_no_content(spark):
+    rng = random.Random(8)
+    word = lambda: "".join(rng.choice("abcdefghij") for _ in range(5))
+    license_line, copied = "all of this may be used by anyone at all", "this line stands in copies of one text"
+    texts = [f"{' '.join(word() for _ in range(30))}\n{license_line}\n{' '.join(word() for _ in range(30))}" for _ in range(12)]
+    texts += [f"{' '.join(map(str, range(20)))}\n{copied}\nend of the copied text is here"] * 12
+    hashes = words.Words([license_line.encode() + b"\n" + copied.encode()])
+    lines = quality.lines_of(hashes, hashes.hashes()).hashes
+    docs = spark.createDataFrame([(t,) for t in texts] + [(None,), ("",)], "text string").repartition(3)
+    assert quality.lines_in_many_places(docs, np.sort(lines)).tolist() == [lines[0]]
+    assert quality.lines_in_many_places(docs, lines[:0]).tolist() == []
+
+
+def test_field_learns_mixed_texts_and_keeps_good_ones():
+    """Lines are told apart by one feature; some lines of good texts are boilerplate."""
+    rng = np.random.default_rng(3)
+    first = np.arange(0, 1001, 10)
+    good = np.arange(100) < 60
+    content = np.repeat(good, 10) & (rng.random(1000) < 0.7)
+    features = np.zeros((1000, len(quality.FEATURES)))
+    features[:, 0] = 1
+    features[:, 1] = np.where(content, 1.0, -1.0) + rng.normal(0, 0.4, 1000)
+    field = quality.fit_field(features, first, good, content)
+    labels = quality.viterbi(features @ field.emit, first, field.step)
+    assert (labels == content).mean() > 0.95
+    chars = np.ones(1000, np.int64)
+    up = quality.raised(field, features, first, chars, good)
+    kept = np.add.reduceat(chars * quality.viterbi(features @ up.emit, first, up.step), first[:-1]) / 10 >= quality.MIN_CONTENT
+    assert kept[good].mean() >= quality.KEEP_GOOD and kept[~good].mean() < 0.2
+    assert quality.raised(quality.DEFAULT_FIELD, features, first, chars, np.zeros(100, bool)).emit.tolist() == quality.DEFAULT_FIELD.emit.tolist()
