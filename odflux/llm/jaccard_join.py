@@ -16,8 +16,9 @@ the whole sets. Runs repeat until a pair at the threshold is missed with a
 chance below one in a million when its buckets are small, and about one in a
 thousand when every one of them has to be split to the full depth.
 
-A large bucket whose members are mostly like one of them would not come apart
-however often it were split, and neither does one still large at full depth.
+A large bucket whose members are mostly like one text, voted for token by token by
+some of them, would not come apart however often it were split, and neither does
+one still large at full depth.
 The members that such buckets connect are a group. A group is compared in
 tiles, all members with all, and its pairs are left out of the brute force.
 
@@ -50,8 +51,8 @@ BUCKET = 96
 BROADCAST_ROWS = 100_000
 DEPTH = 5
 TILE = 256
-# A large bucket is not split if this part of it looks like its member of least key.
-ALIKE_PART = 0.5
+# A large bucket is not split if this part of it looks like what so many of its members have in common.
+ALIKE_PART, VOTERS = 0.5, 9
 DEVIATIONS = 5.0
 # Columns of the token matrix of a tile that are multiplied at a time.
 STRIP = 4096
@@ -204,8 +205,21 @@ def alike_buckets(large: DataFrame, threshold: float) -> DataFrame:
             alike = _alike(low, pivot, size, pivot_size, threshold)
             yield pa.record_batch([batch.column("path"), pa.array(alike.astype(np.int64))], names=["path", "alike"])
 
-    first = large.groupBy("path").agg(F.min_by(F.struct(F.col("low").alias("pivot"), F.col("size").alias("pivot_size")), "key").alias("p"))
-    first = stored(first.select("path", "p.*"), "pivots")
+    def vote(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            pivots, sizes = [], []
+            for voters in batch.column("voters").to_pylist():
+                lows = np.stack([np.frombuffer(v["low"], np.uint8) for v in voters])
+                uses = (lows[:, None] == lows).sum(1)  # of each voter's token, by how many
+                pivots.append(lows[uses.argmax(0), np.arange(COORDINATES)].tobytes())
+                sizes.append(int(np.median([v["size"] for v in voters])))
+            columns = [batch.column("path"), pa.array(pivots, pa.binary()), pa.array(sizes, pa.int64())]
+            yield pa.record_batch(columns, names=["path", "pivot", "pivot_size"])
+
+    # Voters by hash, so a few odd members do not speak for all.
+    voters = [F.min_by(F.struct("low", "size"), F.xxhash64("key", F.lit(k))) for k in range(VOTERS)]
+    chosen = large.groupBy("path").agg(F.array(*voters).alias("voters"))
+    first = stored(chosen.mapInArrow(vote, "path long, pivot binary, pivot_size long"), "pivots")
     rows = large.select("path", "size", "low").join(_if_small(first), "path")
     judged = rows.mapInArrow(run, "path long, alike long").groupBy("path").agg(F.avg("alike").alias("part"))
     return judged.where(F.col("part") >= ALIKE_PART).select("path")
