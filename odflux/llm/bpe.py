@@ -9,6 +9,11 @@ its last state.
 
 The vocabulary file is a parameter; it is read by every worker, so it lies at
 the same path on every machine.
+
+Missing and empty texts have no tokens; texts of any length are encoded whole.
+Repeated rows are each encoded, a missing id stays. Of pairs of equal rank (ties)
+the leftmost merges. Columns other than doc_id and text do not matter; an empty
+table gives an empty one.
 """
 
 from __future__ import annotations

@@ -9,7 +9,9 @@ be links, and these alone are computed again in double precision.
 Equal vectors of a label are compared once and counted with their number. A
 vector that is missing, zero, or has a missing or non-finite component, a
 missing label or a missing id links with nothing and stays. Repeated rows are
-vectors of their own.
+vectors of their own; an id with several vectors has the links of each of them.
+A cosine at the threshold (a tie) is a link. Other columns do not matter; an
+empty table gives an empty one.
 """
 
 from __future__ import annotations

@@ -18,7 +18,9 @@ number the parts of the index.
 
 A missing or empty text has no words. A document without an id keeps all its
 words and is no source. Rows of one id are one document: none is a source for
-another.
+another, so of repeated rows (ties) all stay. Texts of any length are parsed
+whole. Columns other than doc_id and text do not matter; an empty table gives an
+empty one.
 """
 
 from __future__ import annotations

@@ -8,8 +8,11 @@ stays first and one part for every transfer after it; a document goes where its
 middle lies, so new shards miss their capacity by a few small documents.
 
 Positions come from two running sums, one over blocks and one within a block,
-so no task holds a shard. Missing texts have no bytes. Documents with a missing
-id are placed like others; repeated rows each get a slot.
+so no task holds a shard. Missing and empty texts have no bytes, and a document of
+any size goes whole. Documents with a missing id are placed like others; repeated
+rows each get a slot, and those of equal id, size and ``ties`` take theirs in any
+order. Other columns stay; those named old_shard, shard or slot are an error. An
+empty table gives an empty one.
 """
 
 from __future__ import annotations
@@ -107,7 +110,7 @@ def reshard(docs: DataFrame, old_shard: Column, shards: int, ties: Sequence[str]
         F.struct(*docs.columns).alias("doc"),
         old_shard.cast("int").alias("old_shard"),
         (-F.floor(4 * F.log2("size"))).cast("int").alias("size_class"),
-        F.pmod(F.xxhash64("doc_id", F.lit("part")), F.lit(n_sub)).cast("int").alias("part"),
+        F.pmod(F.xxhash64("doc_id", "size", *ties, F.lit("part")), F.lit(n_sub)).cast("int").alias("part"),
     )
     blocks = laid.groupBy(*BLOCK).agg(F.sum("doc.size").alias("block_bytes"))
     blocks = stored(blocks, "blocks")

@@ -15,7 +15,11 @@ The sample is the only bounded part: ``SAMPLE_TEXTS`` labelled training texts of
 smallest hash. Rows whose ``held_out`` is true teach nothing.
 
 A missing text is empty; empty texts get the score of a text without any
-feature. Without a toxic or without a clean label the lexicon is empty and all
+feature. Texts of any length are read whole. Rows of one id take the label of that
+id, of several labels the highest; repeated rows each get the same score, and a
+missing id counts as empty text in the hash. Of equally telling entries (ties)
+the first by letters is taken, ``LEXICON_SIZE`` of them at most. Columns other than
+doc_id, text and toxic do not matter; an empty table gives an empty one. Without a toxic or without a clean label the lexicon is empty and all
 scores are the share of toxic labels.
 """
 
