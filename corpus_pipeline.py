@@ -51,7 +51,7 @@ STAGES = [
     ("byte-pair encoding", encode),
 ]
 
-# Trained fields, shingle joins and byte-pair merges are not expressible in SQL; tests hold the rows against brute force.
+# Trained fields, shingle joins and byte-pair merges are not expressible in SQL; tests hold each stage against brute force.
 ORACLE_SQL = None
 
 
