@@ -125,6 +125,23 @@ def test_resharding_of_odd_documents(odd_docs, no_docs):
         reshard.reshard(sized(odd_docs).withColumn("slot", F.lit(1)), F.lit(0), 4)
 
 
+def test_equal_rows_get_slots_of_their_own(spark):
+    """Ties of id, size and hash, and rows without an id."""
+    rows = [(1, "same")] * 40 + [(None, "same")] * 40 + [(k, "x" * (k % 7)) for k in range(200)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").selectExpr("*", "length(text) + 1 AS size", "crc32(text) AS crc")
+    for parts in (1, 5):
+        old = F.pmod(F.xxhash64("doc_id"), F.lit(3))
+        found = reshard.reshard(docs.repartition(parts), old, 4, ["crc"], rows_per_block=16).collect()
+        assert Counter((r["doc_id"], r["text"]) for r in found) == Counter(rows)
+        for shard in range(4):
+            slots = sorted(r["slot"] for r in found if r["shard"] == shard)
+            assert slots == list(range(len(slots)))
+        sizes = Counter()
+        for r in found:
+            sizes[r["shard"]] += r["size"]
+        assert max(sizes.values()) - min(sizes.values()) <= 4 * max(len(t) + 1 for _, t in rows)
+
+
 @pytest.fixture(scope="module")
 def sources(spark):
     rng = random.Random(6)

@@ -295,3 +295,19 @@ def test_field_learns_mixed_texts_and_keeps_good_ones():
     kept = np.add.reduceat(chars * quality.viterbi(features @ up.emit, first, up.step), first[:-1]) / 10 >= quality.MIN_CONTENT
     assert kept[good].mean() >= quality.KEEP_GOOD and kept[~good].mean() < 0.2
     assert quality.raised(quality.DEFAULT_FIELD, features, first, chars, np.zeros(100, bool)).emit.tolist() == quality.DEFAULT_FIELD.emit.tolist()
+
+
+def test_very_long_texts_are_read_whole(library):
+    rng = random.Random(9)
+    found = [f"w{rng.randrange(5000)}" for _ in range(250_000)]
+    text = " ".join(found) + "\nsee a@b.de and 10.0.0.1 " + "x" * 3_000 + " end@mail.com"
+    judged = quality.judge([text.encode(), b""], quality.DEFAULT_FIELD)
+    assert judged.n_words.tolist() == [250_000 + 6, 0] and judged.word_chars[0] == sum(map(len, text.split()))
+    own = words.Words([text.encode()])
+    starts, hashes = own.windows(own.hashes(), 13)
+    spelled = text.split()
+    phrases = {tuple(spelled[j : j + 13]) for j in range(250_006 - 12)}
+    assert len(starts) == 250_006 - 12 and len(set(hashes.tolist())) == len(phrases)
+    assert [(pii.KINDS[k], text[s:e]) for s, k, e in pii.find(text)] == [("email", "a@b.de"), ("ip", "10.0.0.1"), ("email", "end@mail.com")]
+    ids = bpe.Vocabulary(public_tokenizers.path("word_bpe_49k.json")).encode([text])[0]
+    assert np.frombuffer(ids, "<u4").tolist() == library.encode(text, add_special_tokens=False).ids
