@@ -368,7 +368,8 @@ class Detector:
         if self.network is None or not rows:
             return np.zeros(len(rows)), np.zeros(len(rows), bool)
         cuts = np.cumsum([0, *map(len, rows)])[:-1]
-        score = np.maximum.reduceat(self.network.score(np.concatenate(rows)), cuts)
+        # In doubles, as thresholds are: a flat curve tells scores apart by less than a single holds.
+        score = np.maximum.reduceat(self.network.score(np.concatenate(rows)), cuts).astype(float)
         chances = np.stack([curve.chance(score) for curve in self.curves])
         own = np.array(cued, int)
         chance = chances[own, np.arange(len(rows))]
